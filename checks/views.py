@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -233,7 +233,14 @@ class Views:
 
     def _build(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+            path = f"{self._dir}/{name}.parquet"
+            fields = self.spark.read.parquet(path).schema.fields
+            # The files hold times without a zone; the session zone is UTC.
+            zoned = [
+                T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
+                for f in fields
+            ]
+            return self.spark.read.schema(T.StructType(zoned)).parquet(path)
         return self.sql(VIEWS[name])
 
     def sql(self, sql: str) -> DataFrame:
