@@ -16,6 +16,11 @@ def json_text(c, *path: str) -> Column:
     return F.get_json_object(c, "$." + ".".join(path))
 
 
+def json_fields(c, fields: str) -> Column:
+    """Several fields as one struct: one JSON parse per row, however many fields."""
+    return F.from_json(c, fields)
+
+
 def json_elements(c, key: str, element: str) -> Column:
     """Array of structs under ``key``; one JSON parse for all the fields."""
     return F.from_json(F.get_json_object(c, f"$.{key}"), f"array<struct<{element}>>")

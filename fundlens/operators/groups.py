@@ -13,28 +13,48 @@ from fundlens.functions.values import credits_to_usd
 HOT_GROUP_ROWS = 1_000_000
 
 
-def _same_keys(df: DataFrame, totals: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(totals[f"_key_{k}"]) for k in keys])
+# Rows of such groups are spread over this many places in the shuffle.
+SPREAD = 1 << 16
 
 
 def with_group_totals(
-    df: DataFrame, keys: list[str], aggs: dict[str, Column], hot_rows: int = HOT_GROUP_ROWS
+    df: DataFrame,
+    keys: list[str],
+    aggs: dict[str, Column],
+    hot_rows: int = HOT_GROUP_ROWS,
+    nullable_keys: bool = True,
 ) -> DataFrame:
     """Every row with the aggregates of its group, as ``agg OVER (PARTITION BY keys)`` gives.
 
     A window would send a whole group to one task. Here the aggregate combines
-    on the map side, large groups meet their totals through a broadcast, and
-    only rows of ordinary groups are shuffled by the keys. NULL keys form a group.
+    on the map side. Rows of large groups get their totals by broadcast and
+    carry a spread number, so that the shuffle join of the ordinary groups,
+    where they match nothing, does not gather them. ``df`` is read twice.
+    NULL keys form a group; say so if there are none, plain equality is faster.
     """
     rows = F.count(F.lit(1)).alias("_rows")
     totals = df.groupBy(*keys).agg(rows, *[c.alias(f"_{n}") for n, c in aggs.items()])
-    totals = totals.select("_rows", *[F.col(k).alias(f"_key_{k}") for k in keys], *[f"_{n}" for n in aggs])
-    hot = F.broadcast(totals.where(F.col("_rows") > hot_rows))
-    cold = totals.where(F.col("_rows") <= hot_rows)
-    out = [*df.columns, *[F.col(f"_{n}").alias(n) for n in aggs]]
-    in_hot = df.join(hot, _same_keys(df, hot, keys)).select(*out)
-    rest = df.join(hot, _same_keys(df, hot, keys), "left_anti")
-    return in_hot.unionByName(rest.join(cold, _same_keys(rest, cold, keys)).select(*out))
+
+    def side(name: str, keep: Column) -> DataFrame:
+        return totals.where(keep).select(
+            *[F.col(k).alias(f"_{name}_{k}") for k in keys],
+            *[F.col(f"_{n}").alias(f"_{name}_value_{n}") for n in aggs],
+            # 0 for ordinary groups; not a literal, which would drop out of the join keys.
+            (F.col("_rows") > hot_rows).cast("int").alias(f"_{name}_place"),
+        )
+
+    def same(left: DataFrame, right: DataFrame, name: str) -> Column:
+        pairs = [(left[k], right[f"_{name}_{k}"]) for k in keys]
+        return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if nullable_keys else a == b for a, b in pairs])
+
+    hot = F.broadcast(side("hot", F.col("_rows") > hot_rows))
+    cold = side("cold", F.col("_rows") <= hot_rows)
+    tagged = df.join(hot, same(df, hot, "hot"), "left")
+    spread = 1 + F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int")
+    tagged = tagged.withColumn("_place", F.when(F.col("_hot_place").isNotNull(), spread).otherwise(0))
+    joined = tagged.join(cold, same(tagged, cold, "cold") & (tagged["_place"] == cold["_cold_place"]), "left")
+    found = [F.coalesce(f"_cold_value_{n}", f"_hot_value_{n}").alias(n) for n in aggs]
+    return joined.select(*[df[c] for c in df.columns], *found)
 
 
 def with_split_count(df: DataFrame, keys: list[str], name: str = "address_count") -> DataFrame:

@@ -10,8 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fundlens.functions.text import json_elements, json_text
-from fundlens.sources.schemas import MATCHING_ENTRY
+from fundlens.functions.text import json_fields, json_text
+from fundlens.sources.schemas import MATCHING_DOCUMENT
 
 DAY_SECONDS = 86_400
 
@@ -119,9 +119,16 @@ def split_credit(df: DataFrame, shares: DataFrame, keys: list[str], value: str,
 
 
 def explode_distribution(rounds: DataFrame) -> DataFrame:
-    """One row per entry of a round's matching distribution; rounds without entries go."""
-    entries = json_elements(F.col("matching_distribution"), "matchingDistribution", MATCHING_ENTRY)
-    return rounds.select("*", F.explode(entries).alias("entry"))
+    """One row per entry of a round's matching distribution; rounds without entries go.
+
+    The document is parsed once: ``entry`` holds the element and ``paid_at`` the block time text.
+    """
+    parsed = rounds.withColumn("_doc", json_fields(F.col("matching_distribution"), MATCHING_DOCUMENT))
+    return parsed.select(
+        *[c for c in rounds.columns if c != "matching_distribution"],
+        F.col("_doc.blockTimestamp").alias("paid_at"),
+        F.explode("_doc.matchingDistribution").alias("entry"),
+    )
 
 
 def attach_names(df: DataFrame, names: DataFrame) -> DataFrame:

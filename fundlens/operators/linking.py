@@ -43,12 +43,17 @@ def k_of_n_links(
     """
     keys = F.array(*[_subset_key(c) for c in combinations(attributes, k)])
     keyed = df.select(F.col(node).alias("src"), F.explode(keys).alias("key")).where(F.col("key").isNotNull())
-    linked = with_group_totals(keyed, ["key"], {"dst": F.min("src")}, hot_rows)
+    linked = with_group_totals(keyed, ["key"], {"dst": F.min("src")}, hot_rows, nullable_keys=False)
     return linked.where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))).first())
+def _stars_only(edges: DataFrame) -> bool:
+    """True if every source has one target and no target is a source: each component is a star."""
+    out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    if not out.where(F.col("n") > 1).isEmpty():
+        return False
+    sources = out.select(F.col("src").alias("dst"))
+    return edges.select("dst").distinct().join(sources, "dst", "left_semi").isEmpty()
 
 
 def connected_components(
@@ -58,26 +63,21 @@ def connected_components(
 
     Alternates the large-star and small-star steps of Kiveris et al.,
     "Connected Components in MapReduce and Beyond" (SoCC 2014). Only edges are
-    kept between rounds, they never grow in number, and each round is written
-    to the checkpoint folder. Every step is a grouped minimum carried back to
-    the rows, so a hub with very many edges is not gathered in one task.
+    kept between rounds, they never grow in number, and each step is written to
+    the shared folder. Every step is a grouped minimum carried back to the rows,
+    so a hub with very many edges is not gathered in one task.
     """
-    current = cut_lineage(
-        edges.where(F.col("src") != F.col("dst")).select(
-            F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
-        ).distinct()
+    ordered = edges.where(F.col("src") != F.col("dst")).select(
+        F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
     )
-    before = _fingerprint(current)
-    for _ in range(max_rounds):
-        if before[0] == 0:
-            break
-        current = cut_lineage(_small_star(cut_lineage(_large_star(current, hot_rows)), hot_rows))
-        after = _fingerprint(current)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    current = cut_lineage(ordered.distinct(), "edges")
+    rounds = 0
+    while not _stars_only(current):
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        widened = cut_lineage(_large_star(current, hot_rows), "large-star")
+        current = cut_lineage(_small_star(widened, hot_rows), "small-star")
+        rounds += 1
     labels = current.select(F.col("src").alias(node), F.col("dst").alias("_least"))
     return nodes.select(node).join(labels, node, "left").select(node, F.coalesce("_least", node).alias("component"))
 
@@ -85,7 +85,7 @@ def connected_components(
 def _large_star(edges: DataFrame, hot_rows: int) -> DataFrame:
     """Each larger neighbour of a node links to the least node around it."""
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    around = with_group_totals(both, ["src"], {"least": F.min("dst")}, hot_rows)
+    around = with_group_totals(both, ["src"], {"least": F.min("dst")}, hot_rows, nullable_keys=False)
     return (
         around.where(F.col("dst") > F.col("src"))
         .select(F.col("dst").alias("src"), F.least("least", "src").alias("dst"))
@@ -95,7 +95,7 @@ def _large_star(edges: DataFrame, hot_rows: int) -> DataFrame:
 
 def _small_star(edges: DataFrame, hot_rows: int) -> DataFrame:
     """A node and its smaller neighbours all link to the least of them."""
-    below = with_group_totals(edges, ["src"], {"least": F.min("dst")}, hot_rows)
+    below = with_group_totals(edges, ["src"], {"least": F.min("dst")}, hot_rows, nullable_keys=False)
     own = below.select("src", F.col("least").alias("dst"))
     others = below.where(F.col("dst") != F.col("least")).select(F.col("dst").alias("src"), F.col("least").alias("dst"))
     return own.unionByName(others).distinct()

@@ -168,9 +168,7 @@ def distribution_base(rounds: DataFrame, applications: DataFrame, payouts: DataF
         "chain_id",
         F.col("id").alias("round_id"),
         json_text(F.col("round_metadata"), "name").alias("round_name"),
-        F.coalesce(
-            iso_ts(json_text(F.col("matching_distribution"), "blockTimestamp")), F.col("donations_end_time")
-        ).alias("timestamp"),
+        F.coalesce(iso_ts(F.col("paid_at")), F.col("donations_end_time")).alias("timestamp"),
         entry["projectName"].alias("project_name"),
         entry["projectPayoutAddress"].alias("recipient_address"),
         match_usd(entry["matchPoolPercentage"], F.col("match_amount_in_usd"), F.col("id")).cast(AMOUNT).alias(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from fundlens import constants as K
-from fundlens.functions.text import json_text, none_if_blank, normalize_title, repo_owner
+from fundlens.functions.text import json_fields, none_if_blank, normalize_title, repo_owner
 from fundlens.functions.times import epoch_ms_ts
 from fundlens.operators.dedup import latest_per_group
 from fundlens.operators.filters import drop_test_chains, require_title, valid_addresses
@@ -14,6 +14,8 @@ from fundlens.operators.joins import attach_stats
 from fundlens.operators.linking import connected_components, k_of_n_links
 from fundlens.operators.numbering import number_rows
 from fundlens.operators.sets import concat_profiles, order_lookup, order_totals
+from fundlens.session import cut_lineage
+from fundlens.sources.schemas import PROFILE_METADATA
 
 PROFILE_ORDER = ["source", "project_id", *K.PROFILE_ATTRIBUTES]
 
@@ -39,15 +41,20 @@ def historical_profiles(past_grants: DataFrame, contributions: DataFrame) -> Dat
 
 def indexed_profiles(applications: DataFrame) -> DataFrame:
     """Profiles from the metadata of indexed applications."""
-    project = lambda key: json_text(F.col("metadata"), "application", "project", key)
-    return drop_test_chains(applications).select(
+    fields = drop_test_chains(applications).select(
         "project_id",
-        project("projectGithub").alias("project_github"),
-        project("projectTwitter").alias("project_twitter"),
-        project("title").alias("title"),
-        project("website").alias("website"),
-        json_text(F.col("metadata"), "application", "recipient").alias("payout_address"),
-        epoch_ms_ts(project("createdAt")).alias("created_at"),
+        "total_amount_donated_in_usd",
+        json_fields(F.col("metadata"), PROFILE_METADATA)["application"].alias("application"),
+    )
+    project = F.col("application.project")
+    return fields.select(
+        "project_id",
+        project["projectGithub"].alias("project_github"),
+        project["projectTwitter"].alias("project_twitter"),
+        project["title"].alias("title"),
+        project["website"].alias("website"),
+        F.col("application.recipient").alias("payout_address"),
+        epoch_ms_ts(project["createdAt"]).alias("created_at"),
         F.col("total_amount_donated_in_usd").alias("amount_donated"),
         F.lit(K.INDEXED_PROFILE_SOURCE).alias("source"),
     )
@@ -93,7 +100,8 @@ def grouped_projects(
 ) -> DataFrame:
     """Profiles with ``row_id`` and ``group_id``; rows are numbered in the order of their attributes."""
     attributes = attributes or K.PROFILE_ATTRIBUTES
-    numbered = number_rows(profiles, order or PROFILE_ORDER, "row_id")
+    # Range partitioning reads its input twice; the clean profiles are far smaller than the raw JSON.
+    numbered = number_rows(cut_lineage(profiles, "profiles"), order or PROFILE_ORDER, "row_id")
     edges = k_of_n_links(numbered, attributes, k)
     ids = assign_group_ids(connected_components(edges, numbered))
     return numbered.join(ids, "row_id")

@@ -15,8 +15,6 @@ SETTINGS = {
     # this package sit directly on a shuffle, which is what the rule asks for.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Checkpoints of finished iterations are removed once nothing refers to them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -42,9 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="fundlens-")
-    sc.setCheckpointDir(root)
-    return root
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="fundlens-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def staging_path(spark: SparkSession, tag: str) -> str:
@@ -52,14 +49,15 @@ def staging_path(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/fundlens/{tag}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from what was written.
+def cut_lineage(df: DataFrame, tag: str = "step") -> DataFrame:
+    """Write ``df`` under the shared folder and go on from what was written.
 
     Rows read afterwards do not depend on executors that are still alive, and
-    non-deterministic columns keep the values they were written with.
+    non-deterministic columns keep the values they were written with. Parquet
+    keeps the step small, gives Spark its true size, and lets later reads take
+    single columns. The folder is scratch space: its owner cleans it.
     """
     spark = df.sparkSession
-    root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    path = staging_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
