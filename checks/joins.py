@@ -44,6 +44,16 @@ def _(v):
     return joins.attach_round_name(v.applications.select("id", "round_id", "chain_id"), v.rounds)
 
 
+@check(
+    "j2_round_labels_in_one_join",
+    "SELECT a.id, a.round_id, a.chain_id, g.round_number AS round_num, r.round_metadata->>'$.name' AS round_name FROM {applications} a "
+    "LEFT JOIN {registry} g ON lower(g.round_id) = lower(a.round_id) AND g.chain_id = a.chain_id "
+    "LEFT JOIN {rounds} r ON r.id = lower(a.round_id) AND r.chain_id = a.chain_id",
+)
+def _(v):
+    return joins.attach_round_labels(v.applications.select("id", "round_id", "chain_id"), v.registry, v.rounds)
+
+
 @check(
     "j3_chain_name",
     f"SELECT d.id, d.chain_id, slug.chain_name AS blockchain FROM {{donations}} d LEFT JOIN {SLUGS} ON slug.chain_id = d.chain_id",

@@ -46,6 +46,26 @@ def attach_round_name(applications: DataFrame, rounds: DataFrame) -> DataFrame:
     return _left(applications, side, pairs, {"round_name": "_name"})
 
 
+def attach_round_labels(applications: DataFrame, registry: DataFrame, rounds: DataFrame) -> DataFrame:
+    """:func:`attach_registry` and :func:`attach_round_name` in one join of the applications.
+
+    The two small sides meet first, by a full join on the same key. Two joins of
+    the applications on one key would share a shuffle, and a shared shuffle keeps
+    Spark from splitting a round that has very many applications.
+    """
+    numbers = registry.select("chain_id", F.lower("round_id").alias("_rid"), F.col("round_number").alias("_number"))
+    named = rounds.select(
+        F.col("chain_id").alias("_chain"), F.col("id").alias("_id"),
+        json_text(F.col("round_metadata"), "name").alias("_name"),
+    )
+    on = (numbers["_rid"] == named["_id"]) & (numbers["chain_id"] == named["_chain"])
+    labels = numbers.join(named, on, "full").select(
+        F.coalesce("chain_id", "_chain").alias("chain_id"), F.coalesce("_rid", "_id").alias("_rid"), "_number", "_name"
+    )
+    pairs = [(F.lower(applications["round_id"]), "_rid"), (applications["chain_id"], "chain_id")]
+    return _left(applications, labels, pairs, {"round_num": "_number", "round_name": "_name"})
+
+
 def attach_matching_registry(matching: DataFrame, registry: DataFrame) -> DataFrame:
     """Round number for matching rows; only the registry's round id is lower-cased."""
     side = registry.select("chain_id", F.lower("round_id").alias("_rid"), "round_number")
