@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fundlens import constants as K
-from fundlens.functions.text import json_text
+from fundlens.functions.text import json_fields, json_text
 from fundlens.functions.times import iso_ts
 from fundlens.functions.values import credits_to_usd, match_usd, strategy_or_default
 from fundlens.operators.filters import above, drop_strategy, drop_test_chains
@@ -28,6 +28,7 @@ from fundlens.operators.joins import (
 )
 from fundlens.operators.sets import stack
 from fundlens.sources.readers import chain_mapping
+from fundlens.sources.schemas import GRANT_METADATA
 
 # Exact sums of money need a fixed scale.
 AMOUNT = "decimal(28,8)"
@@ -182,18 +183,14 @@ def distribution_base(rounds: DataFrame, applications: DataFrame, payouts: DataF
         matched, applications, {"transaction_hash": F.col("distribution_transaction")}, "application_id"
     ).withColumn("source_type", F.lit("matching"))
 
-    metadata = F.col("metadata")
     profile = rounds.select(
         "chain_id", F.col("id").alias("round_id"), json_text(F.col("round_metadata"), "name").alias("round_name"),
         "strategy_id", "strategy_name",
     )
     direct = attach_application(
         above(payouts, "amount_in_usd", 0).withColumn("amount_in_usd", F.col("amount_in_usd").cast(AMOUNT)),
-        applications,
-        {
-            "project_name": json_text(metadata, "application", "project", "title"),
-            "recipient_address": json_text(metadata, "application", "recipient"),
-        },
+        applications.withColumn("_grant", json_fields(F.col("metadata"), GRANT_METADATA)["application"]),
+        {"project_name": F.col("_grant.project.title"), "recipient_address": F.col("_grant.recipient")},
         "application_id",
     )
     direct = attach_stats(direct, profile, _on_round()).withColumn("source_type", F.lit("direct"))
@@ -319,7 +316,9 @@ def gmv_events(
     credits = stage(maci_totals(maci_contributions, maci_rounds, chains), "gmv_voice_credits")
     credits_by_tx = maci_tx(credits).withColumnRenamed("gmv", "total")
     # Developers share in every contribution, also in rounds that are not listed.
-    maci_profile = credits.select(*ROUND_KEY, "strategy_name", "pool_name").distinct()
+    maci_profile = attach_stats(
+        maci_contributions.select(*ROUND_KEY).distinct(), _round_profile(maci_rounds).drop("strategy_name"), _on_round()
+    ).withColumn("strategy_name", F.lit(K.MACI_LABEL))
     maci_shares = _round_shares(maci_profile, round_operators(maci_roles), maci_devs, names, chains)
 
     plain = stack(
