@@ -143,12 +143,14 @@ def explode_distribution(rounds: DataFrame) -> DataFrame:
 
     The document is parsed once: ``entry`` holds the element and ``paid_at`` the block time text.
     """
-    parsed = rounds.withColumn("_doc", json_fields(F.col("matching_distribution"), MATCHING_DOCUMENT))
-    return parsed.select(
-        *[c for c in rounds.columns if c != "matching_distribution"],
-        F.col("_doc.blockTimestamp").alias("paid_at"),
-        F.explode("_doc.matchingDistribution").alias("entry"),
-    )
+    kept = [c for c in rounds.columns if c != "matching_distribution"]
+    parsed = rounds.select(*kept, json_fields(F.col("matching_distribution"), MATCHING_DOCUMENT).alias("_doc"))
+    # The time is taken out first, so that the rows of a round do not each carry its whole document.
+    timed = parsed.select(*kept, F.col("_doc.blockTimestamp").alias("paid_at"), "_doc")
+    # The outer form with a test of the position: for a plain explode Spark would derive a filter
+    # on the array size, and parse the document once more for it.
+    entries = F.posexplode_outer("_doc.matchingDistribution").alias("_at", "entry")
+    return timed.select(*kept, "paid_at", entries).where(F.col("_at").isNotNull()).drop("_at")
 
 
 def attach_names(df: DataFrame, names: DataFrame) -> DataFrame:

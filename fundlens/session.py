@@ -18,10 +18,30 @@ SETTINGS = {
 }
 
 
-def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
-    """Add the settings the jobs expect to a session builder."""
+# Input bytes per shuffle partition. The jobs shuffle narrow rows, a fraction of what they read.
+BYTES_PER_PARTITION = 512 * 1024**2
+PARTITION_RANGE = (200, 50_000)
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions for shuffles over ``input_bytes``; AQE merges those that turn out small.
+
+    AQE only ever lowers the number, so the start has to fit the input: at 100 TB
+    the default of 200 would give partitions that no executor can sort in memory.
+    """
+    low, high = PARTITION_RANGE
+    return min(high, max(low, -(-input_bytes // BYTES_PER_PARTITION)))
+
+
+def with_settings(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
+    """Add the settings the jobs expect to a session builder.
+
+    Pass the size of the input to size the shuffles by it.
+    """
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     return builder
 
 

@@ -52,6 +52,10 @@ def test_snapshot_is_never_overwritten(spark, tmp_path):
         writers.snapshot(spark.range(4), str(tmp_path), "v1")
 
 
+def test_shuffles_grow_with_the_input():
+    assert [session.shuffle_partitions(n) for n in (0, 10**12, 10**14, 10**16)] == [200, 1863, 50_000, 50_000]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
     path = session.staging_path(spark, "x")
