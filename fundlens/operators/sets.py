@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def stack(dfs: list[DataFrame]) -> DataFrame:
@@ -27,18 +27,27 @@ def concat_profiles(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
+def spread_sort(df: DataFrame, *order: Column) -> DataFrame:
+    """Global sort whose partitions may split a run of equal keys.
+
+    A sort places rows by ranges of its keys, so a key with very many rows would
+    fill one task; the row id behind the keys lets a range end inside the run.
+    """
+    return df.orderBy(*order, F.monotonically_increasing_id())
+
+
 def order_totals(df: DataFrame, col: str = "Total USD") -> DataFrame:
     """Largest first; NULL totals lead."""
-    return df.orderBy(F.col(f"`{col}`").desc_nulls_first())
+    return spread_sort(df, F.col(f"`{col}`").desc_nulls_first())
 
 
 def order_events(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    return spread_sort(df, *[F.col(k).asc_nulls_last() for k in keys])
 
 
 def order_lookup(df: DataFrame, col: str = "group_id") -> DataFrame:
     """Sort ids as text: '10' comes before '2'."""
-    return df.orderBy(F.col(col).cast("string").asc())
+    return spread_sort(df, F.col(col).cast("string").asc())
 
 
 def top_n(df: DataFrame, order: list, n: int) -> DataFrame:

@@ -92,3 +92,18 @@ def test_hot_component_is_split_when_ids_are_assigned(spark, small_splits):
     got = projects.assign_group_ids(components)
     assert "skew=true" in final_plan(got)
     assert got.select("group_id").distinct().count() == 40_001
+
+
+def test_hot_sort_key_is_split(spark):
+    from fundlens.operators.sets import order_lookup
+
+    key = F.when(F.col("id") % 3 == 0, "7").otherwise(F.col("id").cast("string"))
+    got = order_lookup(spark.range(40_000, numPartitions=4).select(key.alias("group_id"), F.lit("x").alias("y")))
+    assert got.columns == ["group_id", "y"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = got.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.group_id for r in placed] == sorted(r.group_id for r in placed)
+    assert len({r.part for r in placed if r.group_id == "7"}) > 1

@@ -84,3 +84,16 @@ def test_refresh_publishes_all_tables_at_once(spark, tmp_path):
     assert second["donations"] == "decreased" and second["rounds"] == "unchanged"
     assert {n: df.count() for n, df in before.items()} == counts, "readers of the first version still see it whole"
     assert {r["version"] for r in writers.current_manifest(spark, root)} == {2}
+
+
+def test_project_refresh_publishes_both_tables(spark, tmp_path):
+    root = str(tmp_path / "projects")
+    v = Views(spark, SMALL)
+    first = refresh.refresh_projects(spark, v.past_grants, v.past_contributions, v.applications, root).collect()
+    assert [(r.table_name, r.status) for r in first] == [("project_groups_summary", None)]
+    tables = writers.current_tables(spark, root)
+    lookup, summary = tables["project_lookup"], tables["project_groups_summary"]
+    assert lookup.select("group_id").distinct().count() == summary.count()
+    assert summary.agg(F.sum("application_count")).first()[0] == lookup.count()
+    again = refresh.refresh_projects(spark, v.past_grants, v.past_contributions, v.applications, root).collect()
+    assert [r.status for r in again] == ["unchanged"]
