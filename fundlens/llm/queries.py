@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundlens.llm import decontaminate, grades, html_text, language, licences, packing, quality_rules, sharding
+from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, packing, quality_rules, sharding
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -49,6 +49,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -57,5 +61,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op10_sharding)
+    f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op9_jaccard, op10_sharding)
 }
