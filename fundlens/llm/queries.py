@@ -63,3 +63,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op9_jaccard, op10_sharding)
 }
+
+ORACLES: dict[str, str] = {}
