@@ -171,50 +171,56 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     edges = members.where("node != star").select(F.col("node").alias("src"), F.col("star").alias("dst"))
 
     # The matrix: which star has a token; only tokens of several stars can lead to another one.
-    flat = members.select("node", "n", "star", F.explode("tokens").alias("token"))
-    matrix = flat.select("token", "star").distinct()
-    common = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("stars")).where("stars > 1")
-    asked = flat.join(common, "token")
+    flat = members.select("node", F.explode("tokens").alias("token"), "star")
+    spread = flat.groupBy("token").agg(F.min("star").alias("_a"), F.max("star").alias("_b"), F.count(F.lit(1)).alias("sets"))
+    common = spread.where("_a != _b").select("token", "sets")
+    asked = flat.select("node", "token").join(common, "token")
     # Rarest first: a set that reaches the threshold meets one of so many of its rarest tokens.
-    ranked = asked.groupBy("node", "star", "n").agg(F.sort_array(F.collect_list(F.struct("stars", "token"))).alias("common"))
+    ranked = asked.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("common"))
+    ranked = ranked.select("node", F.transform("common", lambda x: x["token"]).alias("common"))
     own = F.col("n") - F.size("common")  # tokens of its own star alone come first of all
     least = F.ceil(F.col("n") * percent / 100)
-    probes = ranked.where(F.size("common") >= least).withColumn("_probe", F.col("n") - least + 1 - own)
-    probes = cut_lineage(probes.where("_probe > 0"), "probes")
-    probe = probes.select("node", "star", "n", F.explode(F.expr("slice(common, 1, cast(_probe as int))")).alias("_c"))
-    probe = probe.select("node", "star", F.col("_c.token").alias("token"))
-    held = matrix.join(common.select("token"), "token", "left_semi").select("token", F.col("star").alias("other"))
+    stars_of = members.select("node", "n", "star")
+    probes = ranked.join(stars_of, "node").withColumn("_probe", F.col("n") - least + 1 - own)
+    probes = cut_lineage(probes, "probes")
+    able = (F.size("common") >= least) & (F.col("_probe") > 0)
+    probe = probes.where(able).select("node", "star", F.explode(F.expr("slice(common, 1, cast(_probe as int))")).alias("token"))
+    held = probes.select(F.col("star").alias("other"), F.explode("common").alias("token")).distinct()
     candidates = cut_lineage(probe.join(held, "token").where("star != other").select("node", "star", "other").distinct(), "candidates")
     if candidates.isEmpty():
         links = edges
     else:
-        links = edges.unionByName(_opened(candidates, members, edges, matrix, percent))
+        links = edges.unionByName(_opened(candidates, probes, held, members, percent))
     return _labels(docs_sets, links)
 
 
-def _opened(candidates: DataFrame, members: DataFrame, edges: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
+def _opened(candidates: DataFrame, probes: DataFrame, held: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links of candidate sets into other stars."""
     leaders = members.where("node = star").select(F.col("star").alias("other"), F.col("n").alias("_ln"), F.col("tokens").alias("_lt"))
     asked = candidates.join(members.select("node", "n", "tokens"), "node")
     to_leader = asked.join(leaders, "other").where(_linked("tokens", "n", "_lt", "_ln", percent))
-    found = cut_lineage(to_leader.select(F.col("node").alias("src"), F.col("other").alias("dst")), "leader-links")
-    nodes = members.select(F.col("star").alias("row_id")).distinct()
+    found = cut_lineage(to_leader.select(F.col("node").alias("src"), F.col("other").alias("dst"), "star"), "leader-links")
     # Stars are connected: only links between stars are left to follow.
-    between = found.join(members.select(F.col("node").alias("src"), "star"), "src").select(F.col("star").alias("src"), "dst")
+    between = found.select(F.col("star").alias("src"), "dst")
+    nodes = between.select(F.col("src").alias("row_id")).unionByName(between.select(F.col("dst").alias("row_id"))).distinct()
     label = cut_lineage(connected_components(between, nodes), "labels")
-    a, b = label.select(F.col("row_id").alias("star"), F.col("component").alias("_a")), label.select(F.col("row_id").alias("other"), F.col("component").alias("_b"))
-    apart = candidates.join(a, "star").join(b, "other").where("_a != _b").select("node", "other")
+    a = label.select(F.col("row_id").alias("star"), F.col("component").alias("_a"))
+    b = label.select(F.col("row_id").alias("other"), F.col("component").alias("_b"))
+    apart = candidates.join(a, "star", "left").join(b, "other", "left")
+    # A star of one set has been compared with its leader: all it has.
+    larger = members.where("node != star").select(F.col("star").alias("other")).distinct()
+    apart = apart.where(F.coalesce("_a", "star") != F.coalesce("_b", "other")).select("node", "other").join(larger, "other", "left_semi")
     # Bound by the union of the star, then open it.
-    query = apart.join(members.select("node", "n", "tokens"), "node")
-    counted = query.select("node", "other", "n", F.explode("tokens").alias("token")).join(
-        matrix.withColumnRenamed("star", "other"), ["token", "other"]
-    )
+    query = apart.join(probes.select("node", "n", "common"), "node")
+    counted = query.select("node", "other", "n", F.explode("common").alias("token")).join(held, ["token", "other"])
     overlap = counted.groupBy("node", "other", "n").agg(F.count(F.lit(1)).alias("_overlap"))
     qualified = cut_lineage(overlap.where(F.col("_overlap") * 100 >= F.col("n") * percent).select("node", "other"), "qualified")
-    inside = members.where("node != star").select(F.col("star").alias("other"), F.col("node").alias("dst"), F.col("n").alias("_mn"), F.col("tokens").alias("_mt"))
+    inside = members.where("node != star").select(
+        F.col("star").alias("other"), F.col("node").alias("dst"), F.col("n").alias("_mn"), F.col("tokens").alias("_mt")
+    )
     sized = qualified.join(members.select("node", "n", "tokens"), "node").join(inside, "other")
     close = (F.least("n", "_mn") * 100 >= F.greatest("n", "_mn") * percent) & _linked("tokens", "n", "_mt", "_mn", percent)
-    return found.unionByName(sized.where(close).select(F.col("node").alias("src"), "dst"))
+    return found.select("src", "dst").unionByName(sized.where(close).select(F.col("node").alias("src"), "dst"))
 
 
 def _labels(docs_sets: DataFrame, links: DataFrame) -> DataFrame:
