@@ -11,8 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Characters of text in a batch, and keys that one part should hold.
 BATCH_CHARS = 16_000_000
@@ -28,12 +27,20 @@ def parts_for(docs: DataFrame, column: str = "text") -> int:
     return max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), chars // PART_CHARS)
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int, list[list]]]:
-    """(batch number, columns): rows gathered up to a size, numbered so that a task run again numbers alike."""
-    serial = TaskContext.get().partitionId() << 24
+def batched(docs: DataFrame, *more: Column) -> DataFrame:
+    """(partition, doc_id, text, more): what :func:`batches_of` takes."""
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    return docs.select(F.spark_partition_id().alias("_partition"), *own, *more)
+
+
+def batches_of(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[tuple[int, list[list]]]:
+    """(batch number, columns but the first): rows gathered up to a size, numbered so that a second run numbers alike."""
+    serial = None
     rows, size = [], 0
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
+        if serial is None and len(batch):
+            serial = batch.column(0)[0].as_py() << 24
+        columns = [c.to_pylist() for c in batch.columns[1:]]
         for row in zip(*columns):
             n = len(row[text]) if row[text] else 0
             if rows and (size + n > BATCH_CHARS or len(rows) >= MOST_TEXTS):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fundlens.llm.common import in_chunks, mix, window_hashes, word_hashes
-from fundlens.llm.exchange import KEY_BITS, batches_of, pack_sorted, part_bounds, parts_for, unpack_sorted
+from fundlens.llm.exchange import KEY_BITS, batched, batches_of, pack_sorted, part_bounds, parts_for, unpack_sorted
 from fundlens.operators.linking import connected_components
 from fundlens.session import cut_lineage
 
@@ -73,7 +73,7 @@ def document_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -
     parts = parts_for(docs)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (ids, texts) in batches_of(batches, 1):
+        for number, (ids, texts) in batches_of(batches):
             sets = list(shingle_sets(texts, width))
             sizes = np.array([len(s) for s in sets], np.int64)
             owners = np.repeat(np.arange(len(sets), dtype=np.uint64), sizes)
@@ -129,8 +129,7 @@ def document_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -
             }
         )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = narrow.mapInArrow(send, _BLOCKS)
+    blocks = batched(docs).mapInArrow(send, _BLOCKS)
     shared = blocks.groupBy("part").applyInArrow(share, _SHARED)
     return shared.groupBy("batch").applyInArrow(gather, "doc_id long, n_shingles long, digest long, tokens array<long>")
 

@@ -216,6 +216,12 @@ def identify(docs: DataFrame, model: LanguageModel, with_spans: bool = False) ->
     return narrow.mapInArrow(label, schema)
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """Rows of ``docs``, all columns, whose text has a language."""
+    labels = identify(docs, model).where(F.col("lang_pred") != UNDETERMINED).select("doc_id").distinct()
+    return docs.join(labels, "doc_id", "left_semi")
+
+
 def id_remainder(modulus: int) -> Column:
     """crc32 of doc_id written as text, modulo a number; null for a null id."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, packing, quality_rules, sharding
+from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, lm, packing, quality_rules, sharding
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,14 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_matches(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.coalesce(language.id_remainder(10), F.lit(1))
+    role = F.when(remainder == 0, lm.SCORED).when(remainder == 1, lm.WEIGHTS).otherwise(lm.MAIN)
+    scored = lm.score_documents(table(spark, sf_dir, "documents"), role)
+    held_out = F.coalesce(language.id_remainder(10) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -61,7 +69,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op9_jaccard, op10_sharding)
+    f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op4_lm_scores, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op9_jaccard, op10_sharding)
 }
 
 ORACLES: dict[str, str] = {}
