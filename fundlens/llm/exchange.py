@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Characters of text in a batch, and keys that one part should hold.
-BATCH_CHARS = 16_000_000
+BATCH_CHARS = 6_000_000
 PART_CHARS = 12_000_000
 MOST_TEXTS = 60_000
 KEY_BITS = 56

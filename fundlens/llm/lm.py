@@ -158,6 +158,12 @@ def counted_batches(docs: DataFrame, role: Column) -> DataFrame:
     return summed.unionByName(narrow.mapInArrow(describe, _BACK)).groupBy("batch").applyInArrow(gather, _KEPT)
 
 
+def _rows(part: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one: each holds a whole batch of texts."""
+    for i in range(len(part)):
+        yield part.slice(i, 1).to_pylist()[0]
+
+
 def _opened(row: dict) -> tuple[_Batch, np.ndarray, np.ndarray, np.ndarray]:
     """Batch, roles, counts of words (and begin) and counts of bigrams, each as (main, weights)."""
     words, lengths = _unsqueeze(row["words"]).reshape(2, -1), _unsqueeze(row["lengths"])
@@ -184,7 +190,7 @@ def learn_weights(batches: DataFrame, main_tokens: int, types: int) -> np.ndarra
 
     def cells(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for row in part.to_pylist():
+            for row in _rows(part):
                 b, roles, words, pairs = _opened(row)
                 mine = np.repeat(roles == WEIGHTS, b.lengths)
                 context, token, pair = b.context[mine], b.sequence[mine], b.pair[mine]
@@ -225,7 +231,7 @@ def score_documents(docs: DataFrame, role: Column) -> DataFrame:
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for row in part.to_pylist():
+            for row in _rows(part):
                 b, _, words, pairs = _opened(row)
                 word, pair = words.sum(0), pairs.sum(0)
                 seen, count = word[b.context], word[b.sequence]
