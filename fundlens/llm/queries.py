@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, lm, packing, quality_rules, sharding
 
+from fundlens.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES", "TOKENIZER"]
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -71,5 +75,3 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op4_lm_scores, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op9_jaccard, op10_sharding)
 }
-
-ORACLES: dict[str, str] = {}
