@@ -1,0 +1,289 @@
+"""The operators against plain re-computations, and on awkward tables."""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, lm, packing, quality_rules, sharding
+from fundlens.llm.queries import TOKENIZER
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, length long, start long, batch long"
+SAME = "one two three four five six seven eight nine ten " * 12
+ROWS = [
+    (1, SAME, "en", "a", 1, 9, 9, 9),
+    (2, SAME, "en", "a", 1, 9, 9, 9),
+    (2, SAME, "en", "a", 1, 9, 9, 9),
+    (3, SAME.replace("seven", "Seven", 1), None, None, None, None, None, None),
+    (4, "", "en", "b", 0, 9, 9, 9),
+    (5, None, None, "b", None, 9, 9, 9),
+    (6, " \t\n ### 123 ", "en", "b", 3, 9, 9, 9),
+    (None, "Released under the MIT License.", "en", "c", 3, 9, 9, 9),
+    (7, "It's a <|endoftext|> of Ünïcödé, ét ÀÉ. I'LL go.Now,then ...", "fr", "c", 3, 9, 9, 9),
+    (8, " ".join(f"word{i}" for i in range(6000)), "en", "c", 3, 9, 9, 9),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_packing_is_exact(docs):
+    tokenizer, want = Tokenizer.from_file(TOKENIZER), Counter()
+    for doc_id, text, *_ in ROWS:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        for at in range(0, len(ids), 64):
+            piece = np.array(ids[at : at + 64], "<u4").tobytes()
+            want[(doc_id, at, len(piece) // 4, zlib.crc32(piece), len(ids))] += 1
+    rows = packing.pack_documents(docs, TOKENIZER, capacity=64).collect()
+    assert Counter((r.doc_id, r.start, r["length"], r.ids_crc32, r.doc_tokens) for r in rows) == want
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r["length"]))
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at <= 64
+    with_ids = packing.pack_documents(docs, TOKENIZER, capacity=64, with_ids=True).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in with_ids)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.dictionaries(st.integers(1, 32), st.integers(1, 40), max_size=12))
+def test_placed_lengths_tile_the_sequences(histogram):
+    filled, ranks = {}, {}
+    for n, rank, count, first, offset in packing.place_lengths(histogram, 32):
+        assert ranks.get(n, 0) == rank
+        ranks[n] = rank + count
+        for s in range(first, first + count):
+            assert filled.get(s, 0) == offset
+            filled[s] = offset + n
+    assert ranks == histogram and all(v <= 32 for v in filled.values())
+
+
+def test_shards_are_contiguous_and_even(spark, docs):
+    rows = [(i, "x" * (i * 37 % 101)) for i in range(500)]
+    placed = sorted(sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect())
+    shards = [r.shard for r in placed]
+    assert shards == sorted(shards) and set(shards) == set(range(7))
+    sums = Counter()
+    for r in placed:
+        sums[r.shard] += r.size
+        assert r.text_crc32 == zlib.crc32(rows[r.doc_id][1].encode())
+    assert max(sums.values()) - min(sums.values()) <= 2 * 101
+    for s in range(7):
+        assert sorted(r.slot for r in placed if r.shard == s) == list(range(shards.count(s)))
+    assert sharding.shard_by_bytes(docs).count() == len(ROWS)
+
+
+def _sets():
+    out = {}
+    for doc_id, text, *_ in ROWS:
+        w = re.findall(r"[^\x20\x09-\x0d]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+        out[doc_id] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    return out
+
+
+def test_components_of_awkward_rows(docs):
+    sizes = {k: len(v) for k, v in _sets().items()}
+    got = jaccard.similar_components(docs).collect()
+    assert sorted((r.doc_id or 0) for r in got) == sorted((r[0] or 0) for r in ROWS)
+    assert all(r.n_shingles == sizes[r.doc_id] for r in got)
+    assert {r.component_id for r in got if r.doc_id in (1, 2, 3)} == {1}
+    assert all(r.component_id == r.doc_id for r in got if r.doc_id not in (1, 2, 3))
+
+
+def test_components_equal_all_pairs(spark):
+    """Chains of edits: texts that are linked only through others, and many stars per family."""
+    random, rows = np.random.default_rng(5), []
+    for family in range(6):
+        words = [f"f{family}w{i}" for i in range(60)]
+        for _ in range(25):
+            words = list(words)
+            words[random.integers(60)] = f"x{random.integers(10**6)}"
+            rows.append((len(rows), " ".join(words[: random.integers(52, 61)])))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: find(i) for i in range(len(rows))}
+
+
+def test_decontamination_against_edit_distance(spark):
+    item = "The quick brown fox jumps over the lazy dog while seven wizards boxed quietly near the old mill."
+    texts = ["pad " * 30 + item.upper().replace(" ", ",  ") + " more words here", "nothing of the kind " * 10, None, ""]
+    texts += ["start " + item.replace("quietly", "quitly").replace("wizards", "wizard") + " end", item[:40] + " other ending " * 5]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, None), (3, "tiny")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.benchmark_matches(frame, bench).collect()}
+    assert got == {(0, 1): 0, (4, 1): 2}
+    rounds = decontaminate.benchmark_matches(frame, bench, round_bytes=40).collect()
+    assert {(r.doc_id, r.item_id): r.edits for r in rounds} == got
+
+
+def _semi_global(item: bytes, text: bytes) -> int:
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("abc", min_size=1, max_size=12), st.text("abc", min_size=1, max_size=20))
+def test_alignment_is_least_and_consistent(item, text):
+    edits, start, end = decontaminate.align(item.encode(), text.encode(), 99)
+    assert edits == _semi_global(item.encode(), text.encode())
+    assert 0 <= start <= end <= len(text)
+
+
+def test_licences(docs, spark):
+    mit = licences.KNOWN[8][1]
+    changed = "Copyright (c) 2020 Somebody\n" + mit.replace("MIT License", "MIT  LICENCE").upper()
+    frame = spark.createDataFrame([(1, changed), (2, "text\nReleased under the MIT licence\nend"), (3, mit + " more"), (4, None)], "doc_id long, text string")
+    assert {(r.doc_id, r.line_no, r.licence) for r in licences.licence_matches(frame).collect()} == {(1, 0, "MIT"), (2, 2, "MIT")}
+    assert [(r.doc_id, r.line_no) for r in licences.licence_matches(docs).collect()] == [(None, 0)]
+
+
+def test_quality_rules_on_lines_and_awkward_rows(spark, docs):
+    # Digits of a line count as equal, so the words here are of letters; none repeats within a text.
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    boiler = " ".join(f"offer{letters(k)}" for k in range(60))
+    own = lambda i, n: " ".join(f"d{letters(i)}w{letters(k)}" for k in range(n))
+    rows = [(i, f"{boiler}\n{own(i, 20 if i < 15 else 90)}", "h") for i in range(30)] + [(99, own(99, 80), "h")]
+    got = {r.doc_id: r for r in quality_rules.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].n_removed_words == 60 for i in range(30)) and got[99].n_removed_words == 0
+    assert not any(r.base_failed for r in got.values())
+    assert not any(got[i].kept for i in range(15)) and all(got[i].kept for i in [*range(15, 30), 99])
+    awkward = quality_rules.quality_verdicts(docs).collect()
+    assert len(awkward) == len(ROWS) and {r.n_words for r in awkward if r.doc_id in (4, 5)} == {0}
+    assert all(r.n_repeat_words == 120 for r in awkward if r.doc_id in (1, 2))
+
+
+def test_pages():
+    tree = html_text.BlockTree.fit()
+    page = """<body><nav><a href=/>Home</a> <a href=/b>News of today</a></nav><div class="cookie-banner">We use cookies on this
+    site to make it better for you and all others.</div><article><header><h1>Title &amp; more</h1></header><p>Short.</p><p>A
+    longer&nbsp;text with <a href=/x>a link</a> and <b>bold</b> words.<script>var a = "</p>";</script></p><aside>Read also this
+    other story about something.</aside><p>Last one</article><form>Your mail <input></form><section class=comments><p>I liked
+    this article very much, thanks for all of it.</p></section><footer>All rights</footer>"""
+    assert html_text.main_text(page, tree) == "Title & more\nShort.\nA longer text with a link and bold words.\nLast one"
+    assert [html_text.main_text(x, tree) for x in (None, "", "<p>", "<", "<div class='")][:3] == ["", "", ""]
+
+
+def test_language_spans(spark, docs):
+    english, german = "the house and the garden of my friend ", "der hund und die katze von meinem freund "
+    rows = [(i, english * 3, "en") for i in range(20)] + [(i + 20, german * 3, "de") for i in range(20)]
+    model = language.LanguageModel.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    spans = next(model.label([english * 2 + german * 4]))
+    assert [s[0] for s in spans] == ["en", "de"]
+    got = {r.doc_id: r for r in language.identify(docs, model, with_spans=True).collect()}
+    assert got[4].lang_pred == got[5].lang_pred == got[6].lang_pred == "und" and 0 <= got[1].score <= 1
+    assert language.keep_identified(docs, model).columns == docs.columns
+
+
+def test_viterbi_equals_brute_force():
+    random = np.random.default_rng(3)
+    lengths = [0, 4, 1, 6]
+    scores, begins = random.normal(size=(11, 3)) * 3, np.concatenate([[0], np.cumsum(lengths)])
+    got = language.viterbi(scores, begins, 1.5)
+
+    def value(path, part):
+        return sum(part[i, p] for i, p in enumerate(path)) - 1.5 * sum(a != b for a, b in zip(path, path[1:]))
+
+    for a, b in zip(begins[:-1], begins[1:]):
+        paths = [[]]
+        for _ in range(b - a):
+            paths = [p + [k] for p in paths for k in range(3)]
+        best = max(value(p, scores[a:b]) for p in paths)
+        assert value(list(got[a:b]), scores[a:b]) == pytest.approx(best)
+
+
+def test_language_model_counts_and_base(docs):
+    from pyspark.sql import functions as F
+
+    role = F.when(F.col("doc_id") == 3, lm.SCORED).when(F.col("doc_id") == 2, lm.WEIGHTS).otherwise(lm.MAIN)
+    got = lm.score_documents(docs, role).collect()
+    words = {}
+    for doc_id, text, *_ in ROWS:
+        low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        words.setdefault(doc_id, []).append(re.findall(r"[^\x20\x09-\x0d]+", low) + ["<end>"])
+    counts = Counter(w for d, lists in words.items() if d != 3 for tokens in lists for w in tokens)
+    total, types = sum(counts.values()), len(counts)
+    assert len(got) == len(ROWS)
+    for r in got:
+        tokens = words[r.doc_id][0]
+        base = sum(np.log10((counts[w] + 0.1) / (total + 0.1 * (types + 1))) for w in tokens)
+        assert (r.n_tokens, r.train_tokens, r.n_known) == (len(tokens), total, sum(w in counts for w in tokens))
+        assert r.base_score == pytest.approx(base) and r.score < 0
+    assert next(r for r in got if r.doc_id == 3).score > next(r for r in got if r.doc_id == 3).base_score
+
+
+def test_ordinal_grades(spark, docs):
+    rows = [(f"bad awful w{i}", 0) for i in range(30)] + [(f"so so w{i}", 1) for i in range(30)] + [(f"good fine w{i}", 2) for i in range(30)]
+    model = grades.OrdinalModel.fit(spark.createDataFrame(rows, "text string, grade int"))
+    assert list(model.thresholds) == sorted(model.thresholds) and len(model.thresholds) == 2
+    expected = model.tails(["bad awful", "so so", "good fine"]).sum(1)
+    assert expected[0] < 0.5 < expected[1] < 1.5 < expected[2]
+    assert grades.grade_documents(docs, model, 1).count() == len(ROWS)
+
+
+def test_empty_tables(spark, empty):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    model = language.LanguageModel.fit(empty)
+    from pyspark.sql import functions as F
+
+    for frame in (
+        packing.pack_documents(empty, TOKENIZER),
+        sharding.shard_by_bytes(empty),
+        quality_rules.quality_verdicts(empty),
+        licences.licence_matches(empty),
+        decontaminate.benchmark_matches(empty, bench),
+        jaccard.similar_components(empty),
+        language.identify(empty, model),
+        lm.score_documents(empty, F.lit(lm.MAIN)),
+        grades.grade_documents(empty, grades.OrdinalModel.fit(empty.select("text", F.lit(1).alias("grade"))), 1),
+        html_text.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")),
+    ):
+        assert frame.count() == 0
+
+
+def test_pipeline_keeps_whole_documents(spark):
+    root = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    frame, seen = docs, [docs.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, root)
+        assert frame.columns == docs.columns
+        seen.append(frame.count())
+    assert seen == sorted(seen, reverse=True) and seen[-1] > 0.5 * seen[0]
+    assert frame.exceptAll(docs).isEmpty()
+    packed = corpus_pipeline.run(spark, root)
+    assert packed.select("doc_id").distinct().count() == seen[-1]
