@@ -16,10 +16,17 @@ from fundlens.session import cut_lineage
 ORACLE_SQL = None
 
 
+def _with_ids(docs: DataFrame, found: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Documents whose id is among the found ones (left_anti: is not); rows without an id share one verdict."""
+    ids = found.select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_found")), how)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the word rules and keep enough lines of their own."""
-    verdicts = quality_rules.quality_verdicts(docs).where("kept").select("doc_id").distinct()
-    return docs.join(verdicts, "doc_id", "left_semi")
+    # Written first: a filter on the verdict would be pushed into the metrics and repeat them in itself.
+    verdicts = cut_lineage(quality_rules.quality_verdicts(docs).select("doc_id", "kept"), "verdicts")
+    return _with_ids(docs, verdicts.where("kept"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +39,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of similar ones."""
     groups = jaccard.similar_components(docs)
-    firsts = groups.where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi")
+    return _with_ids(docs, groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     found = decontaminate.benchmark_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    return _with_ids(docs, found, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
