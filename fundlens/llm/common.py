@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # White space of the word rule: space and the control characters 9 to 13.
 WORD_GAP = r"[\x20\x09-\x0D]+"
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _GAPS = np.zeros(256, bool)

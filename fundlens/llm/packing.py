@@ -22,7 +22,7 @@ from fundlens.session import cut_lineage
 CAPACITY = 2048
 END_ID = 1
 # Words whose ids a worker keeps; longer words are encoded each time.
-CACHED_WORDS, CACHED_BYTES = 600_000, 64
+CACHED_WORDS, CACHED_BYTES = 300_000, 64
 # Pieces of one bucket; ranks are counted within a bucket and length.
 ROWS_PER_BUCKET, LEAST_BUCKETS = 100_000, 64
 
