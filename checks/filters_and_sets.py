@@ -121,9 +121,9 @@ def _(v):
     return sets.top_n(rows, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 25)
 
 
-@check("o5_preview")
+@check("o5_preview", "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} ORDER BY o_orderkey LIMIT 5")
 def _(v):
-    return sets.preview(v.orders)
+    return sets.preview(v.orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_orderkey"])
 
 
 @check(

@@ -36,7 +36,8 @@ def where_in(df: DataFrame, col: str, values: list, negate: bool = False, lower:
 
 def active_since(df: DataFrame, date: str = K.REPORT_START) -> DataFrame:
     """Rounds that end or start on or after ``date``, and all direct donation rounds."""
-    day = F.lit(datetime.fromisoformat(date))
+    # As text: a datetime literal would be read in the time zone of the driver's system.
+    day = F.lit(date).cast("timestamp")
     return df.where(
         (F.col("donations_end_time") >= day)
         | (F.col("applications_start_time") >= day)
@@ -45,8 +46,13 @@ def active_since(df: DataFrame, date: str = K.REPORT_START) -> DataFrame:
 
 
 def until(df: DataFrame, ts: str, now: datetime | Column | None = None) -> DataFrame:
-    """Leave out rows of the future; pass ``now`` for a reproducible result."""
-    limit = F.current_timestamp() if now is None else now if isinstance(now, Column) else F.lit(now)
+    """Leave out rows of the future; pass ``now`` for a reproducible result.
+
+    A ``now`` without a zone is in the zone of the session.
+    """
+    if now is None:
+        now = F.current_timestamp()
+    limit = now if isinstance(now, Column) else F.lit(now.isoformat(" ")).cast("timestamp")
     return df.where(F.col(ts) <= limit)
 
 

@@ -50,7 +50,8 @@ def with_group_totals(
     hot = F.broadcast(side("hot", F.col("_rows") > hot_rows))
     cold = side("cold", F.col("_rows") <= hot_rows)
     tagged = df.join(hot, same(df, hot, "hot"), "left")
-    spread = 1 + F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int")
+    # By the row itself: a task that runs again sends each row to the same place.
+    spread = 1 + F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(SPREAD)).cast("int")
     tagged = tagged.withColumn("_place", F.when(F.col("_hot_place").isNotNull(), spread).otherwise(0))
     joined = tagged.join(cold, same(tagged, cold, "cold") & (tagged["_place"] == cold["_cold_place"]), "left")
     found = [F.coalesce(f"_cold_value_{n}", f"_hot_value_{n}").alias(n) for n in aggs]

@@ -57,7 +57,7 @@ def _stars_only(edges: DataFrame) -> bool:
 
 
 def connected_components(
-    edges: DataFrame, nodes: DataFrame, node: str = "row_id", hot_rows: int = HOT_GROUP_ROWS, max_rounds: int = 50
+    edges: DataFrame, nodes: DataFrame, node: str = "row_id", hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
     """(node, component): the least node that each node is connected to.
 
@@ -71,13 +71,9 @@ def connected_components(
         F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
     )
     current = cut_lineage(ordered.distinct(), "edges")
-    rounds = 0
     while not _stars_only(current):
-        if rounds == max_rounds:
-            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         widened = cut_lineage(_large_star(current, hot_rows), "large-star")
         current = cut_lineage(_small_star(widened, hot_rows), "small-star")
-        rounds += 1
     labels = current.select(F.col("src").alias(node), F.col("dst").alias("_least"))
     return nodes.select(node).join(labels, node, "left").select(node, F.coalesce("_least", node).alias("component"))
 

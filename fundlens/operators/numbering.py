@@ -15,11 +15,12 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_number", parti
 
     Rows are range-partitioned and sorted within partitions, written once, and
     each partition is shifted by the sizes of those before it. Copies carry a
-    tie-break id, so equal rows may also be spread over several partitions.
+    tie-break id, so equal rows may also be spread over several partitions. The id
+    is taken from written files: a task that runs again finds the same one.
     """
     rest = [c for c in df.columns if c not in order]
     keys = [F.col(c).asc_nulls_last() for c in [*order, *rest]] + [F.col("_copy").asc()]
-    tagged = df.withColumn("_copy", F.monotonically_increasing_id())
+    tagged = cut_lineage(df).withColumn("_copy", F.monotonically_increasing_id())
     ranged = tagged.repartitionByRange(partitions, *keys) if partitions else tagged.repartitionByRange(*keys)
     placed = ranged.sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
     placed = cut_lineage(placed.drop("_copy").withColumn("_part", F.shiftright("_place", _POSITION_BITS)))

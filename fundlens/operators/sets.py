@@ -5,16 +5,41 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType, NullType
 
+from fundlens.session import cut_lineage
+
+
+def _holds(wide: DataType, given: DataType) -> bool:
+    """True if every value of ``given`` is kept as it is in ``wide``."""
+    if wide.simpleString() == given.simpleString() or isinstance(given, NullType):
+        return True
+    if isinstance(wide, DecimalType) and isinstance(given, DecimalType):
+        digits = given.precision - given.scale
+        return wide.scale >= given.scale and wide.precision - wide.scale >= digits
+    if isinstance(given, IntegralType):
+        return isinstance(wide, (IntegralType, DecimalType))
+    return isinstance(given, (FloatType, DecimalType)) and isinstance(wide, DoubleType)
 
-def stack(dfs: list[DataFrame]) -> DataFrame:
-    """UNION ALL by name; every branch is cast to the types of the first."""
-    types = {f.name: f.dataType for f in dfs[0].schema.fields}
 
-    def aligned(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(f"`{name}`").cast(dtype).alias(name) for name, dtype in types.items()])
+def stack(dfs: list[DataFrame]) -> DataFrame:
+    """UNION ALL by name of frames with the same columns.
 
-    return reduce(DataFrame.unionByName, [dfs[0], *map(aligned, dfs[1:])])
+    Numbers take the wider type; a decimal that meets a double becomes one. A missing
+    or an extra column raises ValueError; a column whose common type would change
+    values raises TypeError: cast it first.
+    """
+    columns = dfs[0].columns
+    for df in dfs[1:]:
+        if differing := set(columns) ^ set(df.columns):
+            raise ValueError(f"columns that not all branches have: {sorted(differing)}")
+    out = reduce(DataFrame.unionByName, dfs)
+    for df in dfs:
+        for field in df.schema.fields:
+            common = out.schema[field.name].dataType
+            if not _holds(common, field.dataType):
+                raise TypeError(f"{field.name}: {field.dataType.simpleString()} does not fit {common.simpleString()}")
+    return out
 
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -31,9 +56,10 @@ def spread_sort(df: DataFrame, *order: Column) -> DataFrame:
     """Global sort whose partitions may split a run of equal keys.
 
     A sort places rows by ranges of its keys, so a key with very many rows would
-    fill one task; the row id behind the keys lets a range end inside the run.
+    fill one task; the row id behind the keys lets a range end inside the run. The id
+    is taken from written files: a task that runs again finds the same one.
     """
-    return df.orderBy(*order, F.monotonically_increasing_id())
+    return cut_lineage(df).orderBy(*order, F.monotonically_increasing_id())
 
 
 def order_totals(df: DataFrame, col: str = "Total USD") -> DataFrame:
@@ -54,5 +80,6 @@ def top_n(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:
+    """The first rows in the given order, so that a preview can be repeated."""
+    return df.orderBy(*order).limit(n)

@@ -15,6 +15,9 @@ SETTINGS = {
     # this package sit directly on a shuffle, which is what the rule asks for.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A map task that ran again with other rows makes the stages behind it run again as a whole.
+    "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
+    "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
 }
 
 
@@ -58,7 +61,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="fundlens-"))
     return sc.getCheckpointDir().rstrip("/")

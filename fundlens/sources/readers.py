@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fundlens import constants as K
 from fundlens.functions.times import version_of
@@ -18,9 +19,21 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_csv_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Spreadsheet export with a header row; columns follow ``schema``."""
-    return spark.read.option("header", True).option("multiLine", False).schema(schema).csv(path)
+def read_csv_records(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """Spreadsheet export with a header row; columns are found by their name in the header.
+
+    A missing column and a value that does not fit its type raise. ``multi_line``
+    allows line breaks inside quotes, at the price of one task per file.
+    """
+    wanted = StructType.fromDDL(schema)
+    reader = spark.read.options(header=True, multiLine=multi_line)
+    header = reader.csv(path).columns
+    if missing := set(wanted.names) - set(header):
+        raise ValueError(f"columns missing in the header: {sorted(missing)}")
+    in_file = StructType([wanted[n] if n in wanted.names else StructField(n, StringType()) for n in header])
+    # Files whose header has another order than the first one raise as well.
+    rows = reader.options(enforceSchema=False, mode="FAILFAST").schema(in_file).csv(path)
+    return rows.select(*[F.col(f"`{n}`") for n in wanted.names])
 
 
 def jdbc_options(
@@ -49,19 +62,28 @@ def jdbc_options(
 def read_jdbc(
     spark: SparkSession,
     url: str,
-    tables: list[str],
+    tables: dict[str, tuple[str, object, object, int] | list[str]],
     namespace: str = "",
-    **options: object,
+    **properties: str,
 ) -> dict[str, DataFrame]:
-    """The listed tables of a remote database, keyed by table name.
+    """Tables of a remote database, keyed by table name.
 
-    Filters and column lists that callers add are pushed to the remote side.
+    Each table states how its read is divided: ``(column, lower, upper, partitions)``,
+    or a list of predicates, one task each. Filters and column lists that callers add
+    are pushed to the remote side.
     """
     prefix = f"{namespace}." if namespace else ""
-    return {
-        table: spark.read.format("jdbc").options(**jdbc_options(url, prefix + table, **options)).load()
-        for table in tables
-    }
+
+    def read(table: str, division: tuple | list) -> DataFrame:
+        if not division:
+            raise ValueError(f"{table}: state a partition column with bounds, or predicates")
+        if isinstance(division, list):
+            return spark.read.jdbc(url, prefix + table, predicates=division, properties=properties)
+        column, lower, upper, n = division
+        options = jdbc_options(url, prefix + table, column, (lower, upper), n, **properties)
+        return spark.read.format("jdbc").options(**options).load()
+
+    return {table: read(table, division) for table, division in tables.items()}
 
 
 def latest_version(df: DataFrame, version: str | Column, prefix: str = "chain_data_") -> DataFrame:

@@ -168,3 +168,23 @@ def test_links_do_not_list_pairs(rows):
     assert linking.k_of_n_links(df, ["a", "b", "c"], 3).count() == 49
     groups_found = linking.shared_attribute_groups(df, ["a"]).collect()
     assert [(r.value, r.members, r.pairs) for r in groups_found] == [("t", 50, 1225)]
+
+
+def test_stack_widens_and_never_narrows(rows):
+    cents, exact = rows([(1, "a")], "v INT, k STRING"), rows([(2, "b")], "v INT, k STRING")
+    cents, exact = (df.withColumn("v", F.lit(x).cast(t)) for df, x, t in [(cents, "1.5", "decimal(18,2)"), (exact, "2.0049", "decimal(18,4)")])
+    assert [str(r.v) for r in sets.stack([cents, exact]).orderBy("v").collect()] == ["1.5000", "2.0049"]
+    with pytest.raises(ValueError, match="extra"):
+        sets.stack([cents, exact.withColumn("extra", F.lit(1))])
+    with pytest.raises(TypeError):
+        sets.stack([cents, exact.withColumn("k", F.lit(1))])
+
+
+def test_literals_of_time_are_in_the_session_zone(rows):
+    """The plan holds midnight in UTC, whatever the zone of the system is."""
+    data = [(datetime(2024, 1, 1), None, "x")]
+    df = rows(data, "donations_end_time TIMESTAMP, applications_start_time TIMESTAMP, strategy_name STRING")
+    plan = filters.active_since(df, "2024-01-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-01-01 00:00:00" in plan or "1704067200000000" in plan
+    limit = filters.until(df, "donations_end_time", datetime(2024, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-01-01 00:00:00" in limit or "1704067200000000" in limit

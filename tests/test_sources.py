@@ -19,6 +19,39 @@ def test_csv_records(spark, tmp_path):
     assert got.first().asDict() == {"desc": "Round", "amount_in_usd": "$1,234.50", "timestamp": "2024-01-01"}
 
 
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("b,more,a\n2,x,1\n")
+    assert readers.read_csv_records(spark, str(path), "a INT, b INT").first() == (1, 2)
+    with pytest.raises(ValueError, match="missing"):
+        readers.read_csv_records(spark, str(path), "a INT, c INT")
+    path.write_text("a,b\n1,no number\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        readers.read_csv_records(spark, str(path), "a INT, b INT").collect()
+
+
+def test_remote_tables_state_their_division(spark):
+    with pytest.raises(ValueError, match="partition column"):
+        readers.read_jdbc(spark, "jdbc:x:", {"t": []})
+
+
+def test_publishes_of_other_tables_stay_visible(spark, tmp_path):
+    root = str(tmp_path / "both")
+
+    def put(live, *names):
+        rows = refresh.publish(spark, {n: spark.range(3) for n in names}, root, writers.following_version(live), {})
+        writers.switch_manifest(spark, root, rows, live)
+
+    put(writers.current_manifest(spark, root), "a", "b")
+    start = writers.current_manifest(spark, root)
+    put(start, "c")
+    put(start, "a")  # another run published c meanwhile, which is not a table of this one
+    assert {r["table"]: r["version"] for r in writers.current_manifest(spark, root)} == {"a": 2, "b": 1, "c": 2}
+    with pytest.raises(RuntimeError, match="another run"):
+        put(start, "a")
+    assert {n: df.count() for n, df in writers.current_tables(spark, root).items()} == {"a": 3, "b": 3, "c": 3}
+
+
 def test_latest_version_reads_only_the_newest_directory(spark, tmp_path):
     for name in ["chain_data_86", "chain_data_93", "chain_data_100", "chain_data_9"]:
         spark.range(2).withColumn("n", F.lit(name)).write.parquet(f"{tmp_path}/schema={name}")
