@@ -119,4 +119,27 @@ SELECT doc_id, len(sets.s) AS n_shingles, coalesce(component_id, doc_id) AS comp
 FROM sets LEFT JOIN rep ON rep.s = list_sort(sets.s) AND len(sets.s) > 0 LEFT JOIN least USING (node)
 """
 
-ORACLES: dict[str, str] = {"op3_licences": OP3, "op5_quality_rules": OP5, "op9_jaccard": OP9}
+OP13 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+        list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, p.positive_id, row_number() OVER w::INTEGER AS rank, n.other AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other)
+QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLES: dict[str, str] = {"op3_licences": OP3, "op5_quality_rules": OP5, "op9_jaccard": OP9, "op13_hard_negatives": OP13}

@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, lm, packing, quality_rules, sharding
+from fundlens.llm import decontaminate, grades, html_text, jaccard, language, licences, lm, negatives, packing, quality_rules, repair, sharding, token_counts
 
 from fundlens.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES", "TOKENIZER"]
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +73,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, anchors=F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_decontamination, op3_licences, op4_lm_scores, op5_quality_rules, op6_quality_grades, op7_html_text, op8_language, op9_jaccard, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_packing, op2_decontamination, op3_licences, op4_lm_scores, op5_quality_rules, op6_quality_grades, op7_html_text,
+        op8_language, op9_jaccard, op10_sharding, op11_token_counts, op12_conversation_repair, op13_hard_negatives,
+    )
 }
