@@ -38,7 +38,9 @@ FOLLOWING = (USER, USER, ASSISTANT, USER)
 ROLE_OF = {USER: "user", ASSISTANT: "assistant"}
 _NEXT_BY_INITIAL = {"s": {START: SYSTEM}, "u": {START: USER, SYSTEM: USER, ASSISTANT: USER}, "a": {USER: ASSISTANT}}
 # Rows of a segment, and searches that a worker remembers.
-SEGMENT_ROWS, REMEMBERED = 256, 8_192
+SEGMENT_ROWS, REMEMBERED = 128, 8_192
+# Rows that one task searches.
+ROWS_PER_TASK = 100_000
 
 # White space as the word rule has it; anything else makes a text not blank.
 _SPACE, _NOT_SPACE = r"\x20\x09-\x0D", r"[^\x20\x09-\x0D]"
@@ -77,10 +79,18 @@ def search(shape: str, state: int, goals: tuple[int, ...]) -> tuple[int, str, in
     None if no path leads there: the start can only be left, and a system row only
     follows the start.
     """
+    rows = len(shape)
     reachable = {state} | ({SYSTEM, USER, ASSISTANT} if state == START else {USER, ASSISTANT})
     goals = tuple(g for g in goals if g in reachable)
-    if not goals or goals == (SYSTEM,) and state == START and not any(r in "sS" for r in shape):
+    if not goals:
         return None
+    # No edit leads back to the start or to a system row: one way at most stays there, without a search.
+    if goals == (state,) and state in (START, SYSTEM):
+        return COST[DELETE] * rows, DELETE * rows, state
+    if goals == (SYSTEM,):
+        ways = [(TRUNCATED_COST * (r == "S"), DELETE * i + KEEP + DELETE * (rows - 1 - i)) for i, r in enumerate(shape) if r in "sS"]
+        cost, audit = min(ways, default=(0, None))
+        return audit and (COST[DELETE] * (rows - 1) + cost, audit, SYSTEM)
     ahead, needs = _least_costs(shape), {}
     bound = ahead[0]
     while True:
@@ -271,6 +281,9 @@ def _chosen_edits(faults: DataFrame, segment_rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, _PATH_TYPE)], names=["conv_id", "_no", "_alone", "paths"])
 
     asked = shapes.select("conv_id", "_no", alone, final, "_segment", "shape")
+    # Narrow rows, costly searches: tasks by the number of rows, not by their bytes.
+    tasks = max(3 * faults.sparkSession.sparkContext.defaultParallelism, -(-faults.count() // ROWS_PER_TASK))
+    asked = asked.repartition(tasks, "conv_id", "_no")
     solved = cut_lineage(asked.mapInArrow(solve, f"conv_id long, _no long, _alone boolean, paths {_PATHS}"), "paths")
 
     def chain(table: pa.Table) -> pa.Table:

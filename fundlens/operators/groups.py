@@ -8,54 +8,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fundlens.functions.values import credits_to_usd
 
-# A group above this many rows is joined by broadcast instead of by shuffle.
-# There are at most |rows| / HOT_GROUP_ROWS such groups, which bounds what is broadcast.
-HOT_GROUP_ROWS = 1_000_000
-
-
-# Rows of such groups are spread over this many places in the shuffle.
-SPREAD = 1 << 16
-
 
 def with_group_totals(
-    df: DataFrame,
-    keys: list[str],
-    aggs: dict[str, Column],
-    hot_rows: int = HOT_GROUP_ROWS,
-    nullable_keys: bool = True,
+    df: DataFrame, keys: list[str], aggs: dict[str, Column], nullable_keys: bool = True
 ) -> DataFrame:
     """Every row with the aggregates of its group, as ``agg OVER (PARTITION BY keys)`` gives.
 
-    A window would send a whole group to one task. Here the aggregate combines
-    on the map side. Rows of large groups get their totals by broadcast and
-    carry a spread number, so that the shuffle join of the ordinary groups,
-    where they match nothing, does not gather them. ``df`` is read twice.
-    NULL keys form a group; say so if there are none, plain equality is faster.
+    A window would send a whole group to one task. Here the aggregate combines on
+    the map side and its one row per group is joined back. Both sides of that join
+    sit directly on a shuffle, so the rows of a hot group, copies included, are
+    split at run time and its totals go to every split; nothing is broadcast by
+    hint. ``df`` is read twice. NULL keys form a group; say so if there are none,
+    plain equality is faster.
     """
-    rows = F.count(F.lit(1)).alias("_rows")
-    totals = df.groupBy(*keys).agg(rows, *[c.alias(f"_{n}") for n, c in aggs.items()])
-
-    def side(name: str, keep: Column) -> DataFrame:
-        return totals.where(keep).select(
-            *[F.col(k).alias(f"_{name}_{k}") for k in keys],
-            *[F.col(f"_{n}").alias(f"_{name}_value_{n}") for n in aggs],
-            # 0 for ordinary groups; not a literal, which would drop out of the join keys.
-            (F.col("_rows") > hot_rows).cast("int").alias(f"_{name}_place"),
-        )
-
-    def same(left: DataFrame, right: DataFrame, name: str) -> Column:
-        pairs = [(left[k], right[f"_{name}_{k}"]) for k in keys]
-        return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if nullable_keys else a == b for a, b in pairs])
-
-    hot = F.broadcast(side("hot", F.col("_rows") > hot_rows))
-    cold = side("cold", F.col("_rows") <= hot_rows)
-    tagged = df.join(hot, same(df, hot, "hot"), "left")
-    # By the row itself: a task that runs again sends each row to the same place.
-    spread = 1 + F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(SPREAD)).cast("int")
-    tagged = tagged.withColumn("_place", F.when(F.col("_hot_place").isNotNull(), spread).otherwise(0))
-    joined = tagged.join(cold, same(tagged, cold, "cold") & (tagged["_place"] == cold["_cold_place"]), "left")
-    found = [F.coalesce(f"_cold_value_{n}", f"_hot_value_{n}").alias(n) for n in aggs]
-    return joined.select(*[df[c] for c in df.columns], *found)
+    totals = df.groupBy(*keys).agg(*[c.alias(f"_{n}") for n, c in aggs.items()])
+    # Always 0, but not known to be: with it the totals are shuffled anew for the join instead of
+    # staying where they were aggregated, which would keep Spark from splitting the rows.
+    place = F.pmod(F.hash(*keys), F.lit(1))
+    right = totals.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[f"_{n}" for n in aggs], place.alias("_total_place"))
+    left = df.withColumn("_place", place)
+    pairs = [(left[k], right[f"_key_{k}"]) for k in keys]
+    same = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if nullable_keys else a == b for a, b in pairs])
+    joined = left.join(right, same & (left["_place"] == right["_total_place"]), "left")
+    return joined.select(*[left[c] for c in df.columns], *[F.col(f"_{n}").alias(n) for n in aggs])
 
 
 def with_split_count(df: DataFrame, keys: list[str], name: str = "address_count") -> DataFrame:

@@ -6,8 +6,8 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fundlens.operators.groups import HOT_GROUP_ROWS, with_group_totals
-from fundlens.session import cut_lineage
+from fundlens.operators.groups import with_group_totals
+from fundlens.session import Step
 
 
 def shared_attribute_groups(df: DataFrame, attributes: list[str]) -> DataFrame:
@@ -32,9 +32,7 @@ def _subset_key(attributes: tuple[str, ...]) -> Column:
     return F.unhex(F.sha2(F.concat(F.lit("|".join(attributes)), *parts), 256))
 
 
-def k_of_n_links(
-    df: DataFrame, attributes: list[str], k: int, node: str = "row_id", hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def k_of_n_links(df: DataFrame, attributes: list[str], k: int, node: str = "row_id") -> DataFrame:
     """Edges (src > dst) whose components equal those of "at least k attributes shared".
 
     Two rows share k of n attributes exactly when they agree on some subset of k
@@ -43,55 +41,45 @@ def k_of_n_links(
     """
     keys = F.array(*[_subset_key(c) for c in combinations(attributes, k)])
     keyed = df.select(F.col(node).alias("src"), F.explode(keys).alias("key")).where(F.col("key").isNotNull())
-    linked = with_group_totals(keyed, ["key"], {"dst": F.min("src")}, hot_rows, nullable_keys=False)
+    linked = with_group_totals(keyed, ["key"], {"dst": F.min("src")}, nullable_keys=False)
     return linked.where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 
-def _stars_only(edges: DataFrame) -> bool:
-    """True if every source has one target and no target is a source: each component is a star."""
-    out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
-    if not out.where(F.col("n") > 1).isEmpty():
-        return False
-    sources = out.select(F.col("src").alias("dst"))
-    return edges.select("dst").distinct().join(sources, "dst", "left_semi").isEmpty()
-
-
-def connected_components(
-    edges: DataFrame, nodes: DataFrame, node: str = "row_id", hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame, node: str = "row_id") -> DataFrame:
     """(node, component): the least node that each node is connected to.
 
     Alternates the large-star and small-star steps of Kiveris et al.,
     "Connected Components in MapReduce and Beyond" (SoCC 2014). Only edges are
-    kept between rounds, they never grow in number, and each step is written to
-    the shared folder. Every step is a grouped minimum carried back to the rows,
-    so a hub with very many edges is not gathered in one task.
+    kept between rounds, they never grow in number, and a round is one write to
+    the shared folder, after which the round before it is removed. The write
+    observes a fingerprint of its edges, and the search ends with the first round
+    that leaves them as they were. Every step is a grouped minimum carried back to
+    the rows, so a hub with very many edges is split, not gathered in one task.
     """
+    fingerprint = {"edges": F.count(F.lit(1)), "bits": F.bit_xor(F.xxhash64("src", "dst")), "sum": F.sum(F.hash("dst", "src").cast("long"))}
     ordered = edges.where(F.col("src") != F.col("dst")).select(
         F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
     )
-    current = cut_lineage(ordered.distinct(), "edges")
-    while not _stars_only(current):
-        widened = cut_lineage(_large_star(current, hot_rows), "large-star")
-        current = cut_lineage(_small_star(widened, hot_rows), "small-star")
-    labels = current.select(F.col("src").alias(node), F.col("dst").alias("_least"))
+    current, settled = Step(ordered.distinct(), "edges", **fingerprint), False
+    while not settled:
+        step = Step(_small_star(_large_star(current.frame)), "components", **fingerprint)
+        settled = step.seen == current.seen
+        current.remove()
+        current = step
+    labels = current.frame.select(F.col("src").alias(node), F.col("dst").alias("_least"))
     return nodes.select(node).join(labels, node, "left").select(node, F.coalesce("_least", node).alias("component"))
 
 
-def _large_star(edges: DataFrame, hot_rows: int) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node links to the least node around it."""
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    around = with_group_totals(both, ["src"], {"least": F.min("dst")}, hot_rows, nullable_keys=False)
-    return (
-        around.where(F.col("dst") > F.col("src"))
-        .select(F.col("dst").alias("src"), F.least("least", "src").alias("dst"))
-        .distinct()
-    )
+    around = with_group_totals(both, ["src"], {"least": F.min("dst")}, nullable_keys=False)
+    return around.where(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.least("least", "src").alias("dst")).distinct()
 
 
-def _small_star(edges: DataFrame, hot_rows: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours all link to the least of them."""
-    below = with_group_totals(edges, ["src"], {"least": F.min("dst")}, hot_rows, nullable_keys=False)
-    own = below.select("src", F.col("least").alias("dst"))
-    others = below.where(F.col("dst") != F.col("least")).select(F.col("dst").alias("src"), F.col("least").alias("dst"))
-    return own.unionByName(others).distinct()
+    below = with_group_totals(edges, ["src"], {"least": F.min("dst")}, nullable_keys=False)
+    # An edge to the least stays as it is; the target of any other one goes over to it.
+    source = F.when(F.col("dst") != F.col("least"), F.col("dst")).otherwise(F.col("src"))
+    return below.select(source.alias("src"), F.col("least").alias("dst")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fundlens import constants as K
 from fundlens.functions.text import json_fields, none_if_blank, normalize_title, repo_owner
@@ -92,6 +92,35 @@ def assign_group_ids(components: DataFrame) -> DataFrame:
     return joined.select("row_id", "group_id")
 
 
+def _tuple_key(attributes: list[str]) -> Column:
+    """Digest of all attributes, missing ones told apart from empty ones."""
+    texts = [F.col(a).cast("string") for a in attributes]
+    parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def tuple_components(numbered: DataFrame, attributes: list[str], k: int) -> DataFrame:
+    """(row_id, component): components of the rows' links, searched among distinct attribute tuples.
+
+    Equal profiles are linked whenever ``k`` of their attributes are known, so the
+    least row of each distinct tuple stands for all of them: links and components
+    are those of the tuples, however often each of them occurs. Rows with fewer
+    known attributes link with nothing and are components of their own.
+    """
+    known = sum((F.col(a).isNotNull().cast("int") for a in attributes), F.lit(0))
+    keyed = numbered.select("row_id", *attributes, F.when(known >= k, _tuple_key(attributes)).alias("_tuple"))
+    firsts = [F.first(a).alias(a) for a in attributes]
+    tuples = keyed.where(F.col("_tuple").isNotNull()).groupBy("_tuple").agg(F.min("row_id").alias("row_id"), *firsts)
+    # Read again for links and nodes: distinct tuples, mostly far fewer than rows.
+    tuples = cut_lineage(tuples, "tuples")
+    found = connected_components(k_of_n_links(tuples, attributes, k), tuples)
+    component = tuples.select("_tuple", "row_id").join(found, "row_id").select("_tuple", "component")
+    # Written, so that the join back meets two plain shuffles and a hot tuple is split.
+    component = cut_lineage(component, "labels")
+    rows = keyed.select("row_id", "_tuple").join(component, "_tuple", "left")
+    return rows.select("row_id", F.coalesce("component", "row_id").alias("component"))
+
+
 def grouped_projects(
     profiles: DataFrame,
     attributes: list[str] | None = None,
@@ -100,10 +129,8 @@ def grouped_projects(
 ) -> DataFrame:
     """Profiles with ``row_id`` and ``group_id``; rows are numbered in the order of their attributes."""
     attributes = attributes or K.PROFILE_ATTRIBUTES
-    # Range partitioning reads its input twice; the clean profiles are far smaller than the raw JSON.
-    numbered = number_rows(cut_lineage(profiles, "profiles"), order or PROFILE_ORDER, "row_id")
-    edges = k_of_n_links(numbered, attributes, k)
-    ids = assign_group_ids(connected_components(edges, numbered))
+    numbered = number_rows(profiles, order or PROFILE_ORDER, "row_id")
+    ids = assign_group_ids(cut_lineage(tuple_components(numbered, attributes, k), "row-components"))
     return numbered.join(ids, "row_id")
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -72,15 +73,62 @@ def staging_path(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/fundlens/{tag}-{uuid.uuid4().hex}"
 
 
+def remove_files(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder wherever it is stored; False if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def write_observed(df: DataFrame, path: str, **observed: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` as Parquet; returns what was written and aggregates of its rows, without reading them again."""
+    observation = Observation()
+    if observed:
+        df = df.observe(observation, *[c.alias(n) for n, c in observed.items()])
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), observation.get if observed else {}
+
+
+class Step:
+    """A frame that was written under the shared folder.
+
+    ``observed`` are aggregates of its rows, taken while they are written; they are
+    the last thing before the write, so a task that runs again counts once.
+    """
+
+    def __init__(self, df: DataFrame, tag: str = "step", **observed: Column):
+        self.spark = df.sparkSession
+        self.path = staging_path(self.spark, tag)
+        self.frame, self.seen = write_observed(df, self.path, **observed)
+
+    def remove(self) -> None:
+        """Delete the files; for steps whose only reader has itself been written."""
+        remove_files(self.spark, self.path)
+
+
 def cut_lineage(df: DataFrame, tag: str = "step") -> DataFrame:
     """Write ``df`` under the shared folder and go on from what was written.
 
     Rows read afterwards do not depend on executors that are still alive, and
     non-deterministic columns keep the values they were written with. Parquet
     keeps the step small, gives Spark its true size, and lets later reads take
-    single columns. The folder is scratch space: its owner cleans it.
+    single columns. :func:`clean_steps` removes what old runs have left.
     """
-    spark = df.sparkSession
-    path = staging_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Step(df, tag).frame
+
+
+def clean_steps(spark: SparkSession, older_than_seconds: float) -> list[str]:
+    """Delete staged steps that nobody has written to for so long; returns their paths.
+
+    Runs share the folder, so the age has to exceed the longest run. Only what
+    :func:`staging_path` names lies there: published tables never do.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/fundlens")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    limit = (time.time() - older_than_seconds) * 1000
+    # A folder's own time moves when a file is added, so a step that is being written is never old.
+    old = [s.getPath().toString() for s in files.listStatus(root) if s.getModificationTime() < limit]
+    for path in old:
+        remove_files(spark, path)
+    return old

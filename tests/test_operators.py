@@ -1,12 +1,15 @@
 from collections import Counter, defaultdict
 from datetime import datetime
 from itertools import combinations
+from pathlib import Path
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from fundlens import session
 from fundlens.operators import dedup, filters, groups, joins, linking, numbering, sets
+from fundlens.plans import projects
 
 
 def tuples(df):
@@ -40,19 +43,18 @@ def test_uniqueness_ignores_null_keys(rows):
         dedup.assert_unique(rows([("a", 1), ("a", 2)], "k STRING, v INT"), ["k"])
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 1_000_000])
-def test_group_totals_equal_a_window(rows, hot_rows):
+def test_group_totals_equal_a_window(rows):
     data = [("hot", i) for i in range(20)] + [("b", 1), ("b", 2), ("c", 7), (None, 4), (None, 5)]
     df = rows(data, "k STRING, v INT")
-    got = groups.with_group_totals(df, ["k"], {"s": F.sum("v"), "n": F.count(F.lit(1))}, hot_rows)
+    got = groups.with_group_totals(df, ["k"], {"s": F.sum("v"), "n": F.count(F.lit(1))})
     want = {k: (sum(v for kk, v in data if kk == k), sum(kk == k for kk, _ in data)) for k, _ in data}
     assert Counter(map(tuple, got.collect())) == Counter((k, v, *want[k]) for k, v in data)
 
 
-def test_group_totals_spread_hot_rows(rows):
+def test_group_totals_hint_no_broadcast(rows):
     df = rows([("hot", i) for i in range(50)], "k STRING, v INT")
-    plan = groups.with_group_totals(df, ["k"], {"s": F.sum("v")}, 10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_place" in plan and "= _cold_place" in plan, "the spread number has to be a join key"
+    plan = groups.with_group_totals(df, ["k"], {"s": F.sum("v")})._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan and "_place" in plan, "the extra key keeps the join on two shuffles"
 
 
 def test_round_operators_count_an_address_once(rows):
@@ -143,17 +145,38 @@ def brute_force_components(people, attributes, k):
     return dict(enumerate(label))
 
 
-@pytest.mark.parametrize("seed,hot_rows", [(1, 2), (2, 1_000_000)])
-def test_components_equal_pair_counting(rows, seed, hot_rows):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_pair_counting(rows, seed):
     rng = random.Random(seed)
     attributes = ["a", "b", "c", "d", "e"]
     people = [{x: rng.choice([None, "u", "v", "w", "x", "y"]) for x in attributes} for _ in range(60)]
     df = rows([(i, *[p[x] for x in attributes]) for i, p in enumerate(people)], "row_id BIGINT, a STRING, b STRING, c STRING, d STRING, e STRING")
-    edges = linking.k_of_n_links(df, attributes, 3, hot_rows=hot_rows)
-    got = {r.row_id: r.component for r in linking.connected_components(edges, df, hot_rows=hot_rows).collect()}
+    edges = linking.k_of_n_links(df, attributes, 3)
+    got = {r.row_id: r.component for r in linking.connected_components(edges, df).collect()}
     assert got == brute_force_components(people, attributes, 3)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_components_over_tuples_equal_those_over_rows(rows, seed):
+    rng = random.Random(seed)
+    attributes = ["a", "b", "c", "d", "e"]
+    people = [{x: rng.choice([None, None, "", "u", "v"]) for x in attributes} for _ in range(90)]
+    df = rows([(i, *[p[x] for x in attributes]) for i, p in enumerate(people)], "row_id BIGINT, a STRING, b STRING, c STRING, d STRING, e STRING")
+    got = {r.row_id: r.component for r in projects.tuple_components(df, attributes, 3).collect()}
+    assert got == brute_force_components(people, attributes, 3)
+    assert projects.tuple_components(df.limit(0), attributes, 3).count() == 0
+
+
+def test_component_rounds_are_removed(spark, rows):
+    folder = Path(session.staging_path(spark, "x")).parent
+    before = set(folder.glob("*")) if folder.exists() else set()
+    edges = rows([(i, i + 1) for i in range(30)], "src BIGINT, dst BIGINT")
+    got = linking.connected_components(edges, rows([(i,) for i in range(31)], "row_id BIGINT"))
+    left = [p.name for p in set(folder.glob("*")) - before]
+    assert len(left) == 1 and left[0].startswith("components-"), "the last round alone is kept"
+    assert {r.component for r in got.collect()} == {0}
+
+
 def test_components_of_long_paths_and_two_minima(spark, rows):
     path = [(i, i + 1) for i in range(40)]
     random.Random(3).shuffle(path)

@@ -86,6 +86,24 @@ def test_hot_round_is_split_when_value_is_shared_out(spark, rows, small_splits):
     assert got.count() == 12_000 * 5
 
 
+def test_hot_group_is_split_when_totals_go_back_to_rows(spark, small_splits):
+    from fundlens.operators.groups import with_group_totals
+
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    df = spark.range(90_000, numPartitions=6).select(key.alias("k"), F.xxhash64("id").alias("v"))
+    got = with_group_totals(df, ["k"], {"n": F.count(F.lit(1))})
+    assert "skew=true" in final_plan(got)
+    assert got.where("k = 0").agg(F.count(F.lit(1)), F.min("n"), F.max("n")).first() == (30_000, 30_000, 30_000)
+
+
+def test_hot_tuple_is_split_when_components_go_back_to_rows(spark, rows, small_splits):
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    df = spark.range(60_000, numPartitions=6).select(F.col("id").alias("row_id"), *[F.concat(F.lit(c), hot).alias(c) for c in "abc"])
+    got = projects.tuple_components(df, ["a", "b", "c"], 3)
+    assert "skew=true" in final_plan(got)
+    assert got.where("component = 0").count() == 20_000 and got.count() == 60_000
+
+
 def test_hot_component_is_split_when_ids_are_assigned(spark, small_splits):
     component = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
     components = spark.range(60_000, numPartitions=6).select(F.col("id").alias("row_id"), component.alias("component"))
