@@ -101,8 +101,8 @@ def _(v):
 @check(
     "f9_labels",
     "SELECT id, CASE WHEN strategy_name IN ('allov1.QF', 'allov2.DonationVotingMerkleDistributionDirectTransferStrategy') THEN 'Allo QF' "
-    "WHEN strategy_name LIKE '%Direct' OR strategy_name LIKE '%DirectGrantsLiteStrategy' THEN 'Direct Grants' "
-    "WHEN strategy_name LIKE '%DirectAllocationStrategy' THEN 'Direct Donations' ELSE strategy_name END AS title, "
+    "WHEN strategy_name IN ('allov1.Direct', 'allov2.DirectGrantsLiteStrategy') THEN 'Direct Grants' "
+    "WHEN strategy_name = 'allov2.DirectAllocationStrategy' THEN 'Direct Donations' ELSE strategy_name END AS title, "
     "CASE WHEN strategy_name = '' THEN 'allov1.QF' ELSE strategy_name END AS filled FROM {order_rounds}",
 )
 def _(v):

@@ -15,7 +15,7 @@ from fundlens.operators import groups
 from fundlens.plans import audit, base, donations, gmv, ingest, matching, projects, refresh, rounds
 from fundlens.session import staging_path
 from fundlens.sources.readers import chain_mapping
-from fundlens.sources.writers import current_tables
+from fundlens.sources.writers import read_manifest
 
 NOW = datetime(2030, 1, 1)
 
@@ -34,38 +34,48 @@ ROUND_COLUMNS = [
 ]
 
 
-@check(
-    "t1_base_rounds",
+BASE_ROUNDS = (
     f"SELECT {', '.join(ROUND_COLUMNS)}, 'indexer' AS source FROM {{rounds}} WHERE chain_id <> 11155111 "
     f"UNION ALL SELECT {', '.join('o.' + c for c in ROUND_COLUMNS)}, 'static' FROM {{old_rounds}} o "
-    "WHERE chain_id <> 11155111 AND NOT EXISTS (SELECT 1 FROM {rounds} r WHERE r.id = o.id AND r.chain_id = o.chain_id)",
+    "WHERE chain_id <> 11155111 AND NOT EXISTS (SELECT 1 FROM {rounds} r WHERE r.id = o.id AND r.chain_id = o.chain_id)"
 )
+
+
+@check("t1_base_rounds", BASE_ROUNDS)
 def _(v):
     return base.base_tables({"rounds": {"indexer": v.rounds, "static": v.old_rounds}})["rounds"]
 
 
-@check(
-    "t1_base_applications",
-    "SELECT *, 'indexer' AS source FROM {applications} WHERE chain_id <> 11155111",
-)
+BASE_APPLICATIONS = "SELECT *, 'indexer' AS source FROM {applications} WHERE chain_id <> 11155111"
+
+
+@check("t1_base_applications", BASE_APPLICATIONS)
 def _(v):
     # Same keys in both sources: every row of the preferred one stays, none of the other.
     return base.base_table("applications", {"static": v.applications.withColumn("status", F.lit("OLD")), "indexer": v.applications})
 
 
-@check(
-    "t1_base_payouts",
-    "SELECT id, chain_id, amount_in_usd, source FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY chain_id, round_id, application_id, amount_in_usd, timestamp, transaction_hash) AS rn "
-    "FROM (SELECT *, 'indexer' AS source FROM {payouts}) p WHERE chain_id <> 11155111) r WHERE rn = 1",
+BASE_PAYOUTS = (
+    "SELECT id, chain_id, round_id, application_id, amount_in_usd, timestamp, transaction_hash, source FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id "
+    "ORDER BY source, chain_id, round_id, application_id, amount_in_usd, timestamp, transaction_hash) AS rn "
+    "FROM (SELECT *, 'indexer' AS source FROM {payouts} UNION ALL SELECT *, 'static' FROM {old_payouts}) p WHERE chain_id <> 11155111) r WHERE rn = 1"
 )
+
+
+@check("t1_base_payouts", BASE_PAYOUTS)
 def _(v):
-    rows = base.base_table("applications_payouts", {"indexer": v.payouts, "static": v.payouts})
-    return rows.select("id", "chain_id", "amount_in_usd", "source")
+    return base.base_table("applications_payouts", {"indexer": v.payouts, "static": v.old_payouts})
+
+
+BASE_ROLES = (
+    "SELECT chain_id, round_id, address, role, MIN(source) AS source FROM (SELECT *, 'indexer' AS source FROM {roles} UNION ALL SELECT *, 'static' FROM {old_roles}) r "
+    "WHERE chain_id <> 11155111 GROUP BY chain_id, round_id, address, role"
+)
 
 
-@check("t1_base_round_roles", "SELECT *, 'indexer' AS source FROM {roles} WHERE chain_id <> 11155111")
+@check("t1_base_round_roles", BASE_ROLES)
 def _(v):
-    return base.base_table("round_roles", {"indexer": v.roles, "static": v.roles})
+    return base.base_table("round_roles", {"indexer": v.roles, "static": v.old_roles})
 
 
 # --- T2, T4, T6: matching --------------------------------------------------------
@@ -120,9 +130,8 @@ MATCHING_HASH = (
 )
 
 
-@check(
-    "t4_all_matching",
-    f"""WITH paid AS ({payouts_sql('order_rounds')}),
+def matching_sql(view: str) -> str:
+    return f"""WITH paid AS ({payouts_sql(view)}),
 past AS ({HISTORICAL_MATCHING}),
 indexed AS (
   SELECT g.round_number AS round_num, p.project_name AS title, p.match_amount_in_usd, p.project_payout_address AS recipient_address,
@@ -134,8 +143,10 @@ historical AS (
     round_id, chain_id, timestamp FROM past
 )
 SELECT {MATCHING_HASH.format(lead='')} AS matching_id, * FROM indexed
-UNION SELECT {MATCHING_HASH.format(lead='round_num || ')}, * FROM historical""",
-)
+UNION SELECT {MATCHING_HASH.format(lead='round_num || ')}, * FROM historical"""
+
+
+@check("t4_all_matching", matching_sql("order_rounds"))
 def _(v):
     past = matching.historical_matching(v.alpha_matching, v.alpha_addresses, v.past_matching, v.past_grants)
     return matching.all_matching(matching.matching_payouts(v.order_rounds), v.registry, past)
@@ -144,9 +155,7 @@ def _(v):
 # --- T3, T5: donations -----------------------------------------------------------
 
 
-@check(
-    "t3_all_donations",
-    """WITH granted AS (
+ALL_DONATIONS = """WITH granted AS (
   SELECT a.id, a.round_id, a.chain_id, a.project_id, g.round_number AS num, r.round_metadata->>'$.name' AS round_name,
     a.metadata->>'$.application.project.title' AS project_name, a.metadata->>'$.application.recipient' AS recipient_address
   FROM {applications} a
@@ -162,8 +171,10 @@ everything AS (
   FROM {static_donations}
 )
 SELECT sha256(CAST(round_num AS STRING) || donor_address || CAST(amount_in_usd AS STRING) || recipient_address || CAST(timestamp AS STRING)
-  || project_id || round_id || CAST(chain_id AS STRING)) AS donation_id, * FROM everything""",
-)
+  || project_id || round_id || CAST(chain_id AS STRING)) AS donation_id, * FROM everything"""
+
+
+@check("t3_all_donations", ALL_DONATIONS)
 def _(v):
     return donations.all_donations(v.donations, v.applications, v.rounds, v.registry, v.static_donations)
 
@@ -206,9 +217,9 @@ GROUP BY ALL"""
 DONATION_DEVS = f"""
 SELECT strategy_name, blockchain, unnest(devs) AS dev_address, len(devs) AS address_count FROM (
   SELECT strategy_name, blockchain, list_concat(
-    [CASE WHEN strategy_name LIKE '%DirectTransferStrategy' OR strategy_name LIKE '%DirectAllocationStrategy' THEN '{K.DEV_V2}'
+    [CASE WHEN strategy_name IN ('allov2.DonationVotingMerkleDistributionDirectTransferStrategy', 'allov2.DirectAllocationStrategy') THEN '{K.DEV_V2}'
           WHEN strategy_name = 'allov1.QF' AND blockchain = 'optimism' THEN '{K.DEV_V1_OPTIMISM}' ELSE '{K.DEV_DEFAULT}' END],
-    CASE WHEN strategy_name LIKE '%DirectTransferStrategy' THEN ['{K.DEV_VOTING}']
+    CASE WHEN strategy_name = 'allov2.DonationVotingMerkleDistributionDirectTransferStrategy' THEN ['{K.DEV_VOTING}']
          WHEN strategy_name = 'allov1.QF' AND blockchain = 'ethereum' THEN ['{K.DEV_V1_OPTIMISM}'] ELSE [] END) AS devs
   FROM (SELECT DISTINCT strategy_name, blockchain FROM by_tx) pairs WHERE blockchain IS NOT NULL AND strategy_name <> ''
 ) listed"""
@@ -216,7 +227,7 @@ SELECT strategy_name, blockchain, unnest(devs) AS dev_address, len(devs) AS addr
 DISTRIBUTION_DEVS = f"""
 SELECT strategy_name, blockchain, unnest(devs) AS dev_address, len(devs) AS address_count FROM (
   SELECT strategy_name, blockchain, list_concat(
-    [CASE WHEN strategy_name LIKE '%DirectTransferStrategy' OR strategy_name LIKE '%LiteStrategy' THEN '{K.DEV_V2}'
+    [CASE WHEN strategy_name IN ('allov2.DonationVotingMerkleDistributionDirectTransferStrategy', 'allov2.DirectGrantsLiteStrategy') THEN '{K.DEV_V2}'
           WHEN strategy_name IN ('allov1.QF', 'allov1.Direct') AND blockchain = 'optimism' THEN '{K.DEV_V1_OPTIMISM}' ELSE '{K.DEV_DEFAULT}' END],
     CASE WHEN strategy_name IN ('allov1.QF', 'allov1.Direct') AND blockchain = 'ethereum' THEN ['{K.DEV_V1_OPTIMISM}'] ELSE [] END) AS devs
   FROM (SELECT DISTINCT strategy_name, blockchain FROM granted) pairs WHERE blockchain IS NOT NULL AND strategy_name IS NOT NULL
@@ -603,8 +614,8 @@ def refresh_inputs(v):
         "applications": {"indexer": v.applications, "static": v.applications},
         "rounds": {"indexer": v.rounds, "static": v.old_rounds},
         "donations": {"indexer": v.donations, "static": v.old_donations},
-        "applications_payouts": {"indexer": v.payouts, "static": v.payouts},
-        "round_roles": {"indexer": v.roles, "static": v.roles},
+        "applications_payouts": {"indexer": v.payouts, "static": v.old_payouts},
+        "round_roles": {"indexer": v.roles, "static": v.old_roles},
     }
     others = {
         "registry": v.registry, "static_donations": v.static_donations,
@@ -617,8 +628,42 @@ def refresh_inputs(v):
     return base_sources, others
 
 
-@check("v2_refresh_all")
+BASES = {
+    "applications": BASE_APPLICATIONS, "rounds": BASE_ROUNDS, "donations": DEDUP.format(extra=""), "payouts": BASE_PAYOUTS, "roles": BASE_ROLES,
+}
+
+
+def over_bases(sql: str) -> str:
+    """The text of a derived table over the base tables; the roles are those of the live source."""
+    for name in ["applications", "rounds", "donations", "payouts"]:
+        sql = sql.replace(f"{{{name}}}", f"base_{name}")
+    return sql
+
+
+def _measured(table: str, rows: str, amount: str = "NULL") -> str:
+    total = f"CAST(SUM(CAST({amount} AS DECIMAL(38,8))) AS DECIMAL(38,2))"
+    return f"SELECT '{table}' AS table_name, COUNT(*) AS row_count, {total} AS total FROM {rows}"
+
+
+REFRESHED = "WITH " + ",\n".join(f"base_{name} AS ({sql})" for name, sql in BASES.items()) + "\n" + "\nUNION ALL ".join(
+    [
+        _measured("applications", "base_applications"),
+        _measured("rounds", "base_rounds", "total_amount_donated_in_usd + CASE WHEN matching_distribution IS NOT NULL THEN match_amount_in_usd ELSE 0 END"),
+        _measured("donations", "base_donations", "amount_in_usd"),
+        _measured("applications_payouts", "base_payouts", "amount_in_usd"),
+        _measured("round_roles", "base_roles"),
+        _measured("allov2_distribution_events_for_leaderboard", "{external_events}"),
+        _measured("indexer_matching", f"({over_bases(payouts_sql('rounds'))}) m", "match_amount_in_usd"),
+        _measured("all_donations", f"({over_bases(ALL_DONATIONS)}) d", "amount_in_usd"),
+        _measured("all_matching", f"({over_bases(matching_sql('rounds'))}) a", "match_amount_in_usd"),
+        _measured("allo_gmv_leaderboard_events", f"({over_bases(GMV_EVENTS)}) g", "gmv"),
+    ]
+)
+
+
+@check("v2_refresh_all", REFRESHED)
 def _(v):
     root = staging_path(v.spark, "refresh")
     refresh.refresh_all(v.spark, *refresh_inputs(v), root)
-    return current_tables(v.spark, root)["allo_gmv_leaderboard_events"]
+    total = F.col("total").cast("decimal(38,8)").cast("decimal(38,2)").alias("total")
+    return read_manifest(v.spark, root).select(F.col("table").alias("table_name"), "row_count", total)

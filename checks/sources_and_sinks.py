@@ -56,20 +56,28 @@ SELECT {chain('c_nationkey')} AS chain_id, COUNT(*) AS customers,
 FROM {{customer}} GROUP BY {chain('c_nationkey')}"""
 
 
+# Both lists, whole.
+SLUG_ROWS = """(1,'ethereum'),(10,'optimism'),(137,'polygon'),(250,'fantom'),(324,'zksync'),(424,'pgn'),(8453,'base'),(42161,'arbitrum'),
+(43114,'avalanche'),(534352,'scroll'),(1329,'sei'),(11155111,'sepolia'),(42220,'celo'),(56,'binance'),(100,'gnosis'),(1284,'moonbeam'),
+(1285,'moonriver'),(25,'cronos'),(128,'huobi'),(1666600000,'harmony'),(2222,'kava'),(30,'rsk'),(288,'boba network'),(1313161554,'aurora'),
+(42262,'oasis emerald'),(1088,'metis andromeda'),(66,'okexchain'),(1101,'polygon zkevm'),(592,'astar'),(42,'lukso')"""
+TITLE_ROWS = """(1,'Ethereum'),(10,'Optimism'),(137,'Polygon'),(250,'Fantom'),(324,'zkSync'),(424,'PGN'),(8453,'Base'),(42161,'Arbitrum One'),
+(43114,'Avalanche'),(534352,'Scroll'),(1329,'SEI'),(11155111,'Sepolia')"""
+
+
 @check(
     "r7_chain_lists",
     f"""
 SELECT slug.chain_id, slug.chain_name AS slug, title.chain_name AS title, b.customers, b.balance
-FROM (VALUES (1,'ethereum'),(10,'optimism'),(137,'polygon'),(42161,'arbitrum'),(11155111,'sepolia')) AS slug(chain_id, chain_name)
-JOIN (VALUES (1,'Ethereum'),(10,'Optimism'),(137,'Polygon'),(42161,'Arbitrum One'),(11155111,'Sepolia')) AS title(chain_id, chain_name)
-  ON title.chain_id = slug.chain_id
-JOIN ({CHAIN_COUNTS}) b ON b.chain_id = slug.chain_id""",
+FROM (VALUES {SLUG_ROWS}) AS slug(chain_id, chain_name)
+FULL JOIN (VALUES {TITLE_ROWS}) AS title(chain_id, chain_name) ON title.chain_id = slug.chain_id
+LEFT JOIN ({CHAIN_COUNTS}) b ON b.chain_id = slug.chain_id""",
 )
 def _(v):
     counts = v.sql(CHAIN_COUNTS)
     slugs = readers.chain_mapping(v.spark).withColumnRenamed("chain_name", "slug")
     titles = readers.chain_names(v.spark).withColumnRenamed("chain_name", "title")
-    return counts.join(F.broadcast(slugs), "chain_id").join(F.broadcast(titles), "chain_id")
+    return slugs.join(titles, "chain_id", "full").join(counts, "chain_id", "left")
 
 
 BIG = "SELECT o_custkey, MAX(o_totalprice) AS largest FROM {orders} GROUP BY o_custkey"
@@ -83,7 +91,7 @@ def _(v):
 @check("w1_overwrite_table", PER_DAY)
 def _(v):
     path = staging_path(v.spark, "overwrite")
-    writers.write_files(v.lineitem.select("l_shipdate").limit(1), path)
+    writers.write_files(v.lineitem.select("l_shipdate"), path)
     return writers.write_files(v.sql(PER_DAY), path)
 
 

@@ -129,6 +129,17 @@ SELECT DISTINCT {chain('s_nationkey')} AS chain_id,
   CASE WHEN l_suppkey % 10 = 9 THEN concat('0xq', {text('l_suppkey')}) ELSE {round_id('l_suppkey')} END AS round_id,
   concat('op', {text('least(l_linenumber, 1 + l_suppkey % 7)')}) AS address,
   CASE WHEN l_linenumber % 2 = 0 THEN 'ADMIN' ELSE 'MANAGER' END AS role
+FROM {{lineitem}} JOIN {{supplier}} ON l_suppkey = s_suppkey""",
+    # Second sources: later keys, other amounts, some roles of the live one.
+    "old_payouts": f"""
+SELECT CAST(l_orderkey * 8 + l_linenumber + 4000 AS INT) AS id, {chain('s_nationkey + 1')} AS chain_id, {round_id('l_suppkey')} AS round_id,
+  {text('l_partkey')} AS application_id, {money('l_quantity + 3')} AS amount_in_usd, l_shipdate AS timestamp,
+  concat('old', {text('l_orderkey')}) AS transaction_hash
+FROM {{lineitem}} JOIN {{supplier}} ON l_suppkey = s_suppkey""",
+    "old_roles": f"""
+SELECT DISTINCT {chain('s_nationkey')} AS chain_id, {round_id('l_suppkey')} AS round_id,
+  concat('op', {text('least(l_linenumber, 2 + l_suppkey % 7)')}) AS address,
+  CASE WHEN l_linenumber % 3 = 0 THEN 'ADMIN' ELSE 'MANAGER' END AS role
 FROM {{lineitem}} JOIN {{supplier}} ON l_suppkey = s_suppkey""",
     "contributions": f"""
 SELECT concat('m_', event_type) AS round_id, {chain('user_id')} AS chain_id, concat('c', {text('user_id')}) AS contributor_address,

@@ -21,4 +21,4 @@ def test_query_equals_its_twin(spark, con, name):
 
 
 def test_every_query_of_the_jobs_has_a_twin():
-    assert {name for name, (_, sql) in CHECKS.items() if sql is None} == {"v2_refresh_all"}
+    assert not [name for name, (_, sql) in CHECKS.items() if sql is None]
