@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from fundlens.sources.files import age_seconds, list_folder, remove_files
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -73,12 +74,6 @@ def staging_path(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/fundlens/{tag}-{uuid.uuid4().hex}"
 
 
-def remove_files(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder wherever it is stored; False if there is none."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def write_observed(df: DataFrame, path: str, **observed: Column) -> tuple[DataFrame, dict]:
     """Write ``df`` as Parquet; returns what was written and aggregates of its rows, without reading them again."""
     observation = Observation()
@@ -122,13 +117,9 @@ def clean_steps(spark: SparkSession, older_than_seconds: float) -> list[str]:
     Runs share the folder, so the age has to exceed the longest run. Only what
     :func:`staging_path` names lies there: published tables never do.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/fundlens")
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return []
-    limit = (time.time() - older_than_seconds) * 1000
-    # A folder's own time moves when a file is added, so a step that is being written is never old.
-    old = [s.getPath().toString() for s in files.listStatus(root) if s.getModificationTime() < limit]
+    steps = list_folder(spark, f"{checkpoint_root(spark)}/fundlens")
+    # A step's age is that of its newest entry, so one that is being written is never old.
+    old = [path for path in steps if age_seconds(spark, path) > older_than_seconds]
     for path in old:
         remove_files(spark, path)
     return old

@@ -1,4 +1,6 @@
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from checks.jobs import refresh_inputs
 from checks.views import Views
 from fundlens import session
 from fundlens.plans import refresh
-from fundlens.sources import readers, writers
+from fundlens.sources import files, readers, writers
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -52,6 +54,68 @@ def test_publishes_of_other_tables_stay_visible(spark, tmp_path):
     assert {n: df.count() for n, df in writers.current_tables(spark, root).items()} == {"a": 3, "b": 3, "c": 3}
 
 
+def test_one_of_two_publishes_from_one_state_wins(spark, tmp_path):
+    root = str(tmp_path / "race")
+    start = writers.current_manifest(spark, root)
+    staged = [refresh.publish(spark, {"a": spark.range(n)}, root, 1, {}) for n in (3, 4, 5, 6)]
+    together = Barrier(len(staged))
+
+    def switch(rows):
+        together.wait()
+        try:
+            writers.switch_manifest(spark, root, rows, start)
+        except RuntimeError:
+            return None
+        return rows[0][2]
+
+    with ThreadPoolExecutor(len(staged)) as pool:
+        winners = [path for path in pool.map(switch, staged) if path]
+    assert len(winners) == 1 and [r["path"] for r in writers.current_manifest(spark, root)] == winners
+    assert len(writers.manifest_files(spark, root)) == 1
+
+
+def test_files_are_put_once_and_whole(spark, tmp_path):
+    path = f"{tmp_path}/once/x.json"
+    assert files.put_if_absent(spark, path, "first\n") and not files.put_if_absent(spark, path, "second\n")
+    assert files.read_text(spark, path) == "first\n"
+    assert [p.rsplit("/", 1)[1] for p in files.list_folder(spark, f"{tmp_path}/once") if not p.endswith(".crc")] == ["x.json"]
+    assert files.list_folder(spark, f"{tmp_path}/nothing") == []
+
+
+def test_old_versions_go_and_live_ones_stay(spark, tmp_path):
+    root = str(tmp_path / "kept")
+    for n in (1, 2, 3, 4):
+        live = writers.current_manifest(spark, root)
+        names = ["a", "b"] if n < 3 else ["a"]
+        rows = refresh.publish(spark, {name: spark.range(n) for name in names}, root, writers.following_version(live), {})
+        writers.switch_manifest(spark, root, rows, live)
+    refresh.publish(spark, {"a": spark.range(9)}, root, 5, {})  # a run that failed before its switch
+    listed = {(r["table"], r["version"]): r["path"] for r in writers.read_manifest(spark, root).collect()}
+    assert writers.clean_versions(spark, root, keep=2, older_than_seconds=3600) == []
+    gone = writers.clean_versions(spark, root, keep=2, older_than_seconds=-1)
+    assert len(gone) == 3 and {p for p in listed.values() if not Path(p).exists()} == {listed["a", 1], listed["a", 2]}
+    assert {n: df.count() for n, df in writers.current_tables(spark, root).items()} == {"a": 4, "b": 2}
+    assert writers.clean_versions(spark, root, keep=1, older_than_seconds=-1) != []
+    assert {n: df.count() for n, df in writers.current_tables(spark, root).items()} == {"a": 4, "b": 2}
+    rows = refresh.publish(spark, {"b": spark.range(7)}, root, writers.next_version(spark, root), {})
+    writers.switch_manifest(spark, root, rows)
+    assert {n: df.count() for n, df in writers.current_tables(spark, root).items()} == {"a": 4, "b": 7}
+    with pytest.raises(ValueError, match="live"):
+        writers.clean_versions(spark, root, keep=0, older_than_seconds=-1)
+
+
+def test_old_steps_go(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
+    step = session.Step(spark.range(5), "mine", n=F.count(F.lit(1)))
+    assert step.seen == {"n": 5}
+    assert session.clean_steps(spark, 3600) == [] and step.frame.count() == 5
+    assert len(session.clean_steps(spark, -1)) == 1 and not Path(step.path).exists()
+    empty = session.Step(spark.range(0), "none", n=F.count(F.lit(1)))
+    assert empty.seen == {"n": 0}
+    empty.remove()
+    assert session.clean_steps(spark, -1) == []
+
+
 def test_latest_version_reads_only_the_newest_directory(spark, tmp_path):
     for name in ["chain_data_86", "chain_data_93", "chain_data_100", "chain_data_9"]:
         spark.range(2).withColumn("n", F.lit(name)).write.parquet(f"{tmp_path}/schema={name}")
