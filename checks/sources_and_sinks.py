@@ -8,7 +8,7 @@ from checks.registry import check
 from checks.views import chain
 from fundlens.plans.refresh import publish
 from fundlens.session import staging_path
-from fundlens.sources import readers, writers
+from fundlens.sources import files, readers, writers
 
 PER_DAY = "SELECT l_shipdate AS day, COUNT(*) AS n, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM {lineitem} GROUP BY l_shipdate"
 
@@ -21,15 +21,28 @@ def _(v):
     )
 
 
-@check(
-    "r3_latest_version",
+NEWEST = (
     "SELECT schema_name, o_orderkey, amount FROM {schema_names} WHERE CAST(substr(schema_name, 12) AS INT) = "
-    "(SELECT MAX(CAST(substr(schema_name, 12) AS INT)) FROM {schema_names})",
+    "(SELECT MAX(CAST(substr(schema_name, 12) AS INT)) FROM {schema_names})"
 )
+
+
+@check("r3_latest_version", NEWEST)
 def _(v):
     return readers.latest_version(v.schema_names, "schema_name")
 
 
+@check("r3_newest_folder", NEWEST)
+def _(v):
+    root = staging_path(v.spark, "schemas")
+    # One folder per schema version, each with a table of orders.
+    named = v.schema_names.withColumn("folder", F.col("schema_name")).withColumn("table", F.lit("orders"))
+    named.write.partitionBy("folder", "table").parquet(root)
+    for path in [p for p in files.list_folder(v.spark, root) if "/folder=" in p]:
+        files.rename(v.spark, path, path.replace("folder=", ""))
+    return readers.read_newest(v.spark, root, "table=orders")
+
+
 @check("r4_parquet_source", "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders}")
 def _(v):
     return readers.read_parquet(v.spark, f"{v._dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")

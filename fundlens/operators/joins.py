@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fundlens.functions.text import json_fields, json_text
 from fundlens.sources.schemas import MATCHING_DOCUMENT
 
+# Levels of aligned blocks: 2^22 days are more than all years that a timestamp can hold.
+LEVELS = 23
 DAY_SECONDS = 86_400
 
 
@@ -83,25 +85,49 @@ def attach_chain_id(df: DataFrame, mapping: DataFrame, name: str = "blockchain")
     return _left(df, F.broadcast(mapping), [(df[name], "chain_name")], {"chain_id": "chain_id"})
 
 
+def interval_blocks(first: Column, last: Column) -> Column:
+    """(level, block) of the fewest aligned blocks of 2^level units that cover first..last, ends included.
+
+    At most two blocks a level: some 2 log2 of the length, whatever the length.
+    """
+    block = lambda level, at: F.struct(level.cast("int").alias("level"), at.alias("block"))
+    none = F.array().cast("array<struct<level:int,block:bigint>>")
+
+    def climb(state: Column, level: Column) -> Column:
+        low, high, found = state["low"], state["high"], state["found"]
+        left = (low <= high) & (F.pmod(low, F.lit(2)) == 1)
+        right = (low + left.cast("bigint") <= high) & (F.pmod(high, F.lit(2)) == 0)
+        found = F.concat(found, F.when(left, F.array(block(level, low))).otherwise(none), F.when(right, F.array(block(level, high))).otherwise(none))
+        # An empty rest stays empty: the ends would meet again on a higher level.
+        up = lambda c, end: F.when(low <= high, F.shiftright(c, 1)).otherwise(end)
+        rest = [up(low + left.cast("bigint"), low).alias("low"), up(high - right.cast("bigint"), high).alias("high")]
+        return F.struct(*rest, found.alias("found"))
+
+    start = F.struct(first.cast("bigint").alias("low"), last.cast("bigint").alias("high"), none.alias("found"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, climb, lambda state: state["found"])
+
+
 def assign_round_by_time(
     df: DataFrame, timings: DataFrame, ts: str, bucket_seconds: int = DAY_SECONDS
 ) -> DataFrame:
     """``round_num`` of every window with ``start < ts < end``; rows in no window keep NULL.
 
-    Each window is listed once per day it touches, so the range test becomes an
-    equality on the day plus the strict bounds: a row meets a window at most
-    once, overlapping windows still fan out, and no side has to fit in memory.
+    A window is listed as the few aligned blocks of days that cover it. The days
+    that occur among the rows meet them through their block on every level, and
+    the rows meet the windows of their day by equality plus the strict bounds. So a
+    row meets a window at most once, overlapping windows still fan out, days
+    without rows cost nothing and no side has to fit in memory. ``df`` is read twice.
     """
-    first, last = F.unix_seconds("start_date"), F.unix_seconds("end_date")
-    bucket = lambda c: F.floor(c / F.lit(bucket_seconds))
-    days = timings.where(F.col("start_date") < F.col("end_date")).select(
-        F.explode(F.sequence(bucket(first), bucket(last))).alias("_day"), "round_num", "start_date", "end_date"
-    )
+    bucket = lambda c: F.floor(F.unix_seconds(c) / F.lit(bucket_seconds))
+    blocks = interval_blocks(bucket(F.col("start_date")), bucket(F.col("end_date")))
+    windows = timings.where(F.col("start_date") < F.col("end_date")).select("round_num", "start_date", "end_date", F.inline(blocks))
+    days = df.select(bucket(F.col(ts)).alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    placed = days.select("_day", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level"))
+    placed = placed.withColumn("block", F.expr("shiftright(_day, level)"))
+    known = placed.join(windows, ["level", "block"]).select("_day", "round_num", "start_date", "end_date")
     at = df[ts]
-    inside = (
-        (bucket(F.unix_seconds(at)) == days["_day"]) & (at > days["start_date"]) & (at < days["end_date"])
-    )
-    return df.join(days, inside, "left").select(*[df[c] for c in df.columns], days["round_num"])
+    inside = (bucket(at) == known["_day"]) & (at > known["start_date"]) & (at < known["end_date"])
+    return df.join(known, inside, "left").select(*[df[c] for c in df.columns], known["round_num"])
 
 
 def attach_application(df: DataFrame, applications: DataFrame, add: dict[str, Column], application: str) -> DataFrame:

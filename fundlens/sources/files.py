@@ -52,6 +52,13 @@ def remove_files(spark: SparkSession, path: str) -> bool:
     return files.delete(place, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file or folder; an error if that fails."""
+    place, files = _where(spark, old)
+    if not files.rename(place, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
 def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file whole unless there is one of that name; False if there is.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fundlens import constants as K
 from fundlens.functions.times import version_of
+from fundlens.sources.files import list_folder
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: str | None = None) -> DataFrame:
@@ -98,6 +101,23 @@ def latest_version(df: DataFrame, version: str | Column, prefix: str = "chain_da
     return df.where(number == newest)
 
 
+def newest_schema(spark: SparkSession, root: str, prefix: str = "chain_data_") -> str:
+    """Folder of the newest schema version under ``root``: names of the prefix and two or three digits.
+
+    Versions are compared as numbers. Only the listing is read.
+    """
+    found = {path: re.fullmatch(re.escape(prefix) + r"(\d{2,3})", path.rsplit("/", 1)[1]) for path in list_folder(spark, root)}
+    numbers = {path: int(match[1]) for path, match in found.items() if match}
+    if not numbers:
+        raise ValueError(f"no folder {prefix}N under {root}")
+    return max(numbers, key=numbers.get)
+
+
+def read_newest(spark: SparkSession, root: str, table: str, schema: str | None = None, prefix: str = "chain_data_") -> DataFrame:
+    """Table of the newest schema version; the folders of older ones are never opened."""
+    return read_table(spark, newest_schema(spark, root, prefix), table, schema)
+
+
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
     """``df`` itself, or an error if it has no row. Reads at most one row."""
     if df.isEmpty():

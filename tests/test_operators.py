@@ -1,5 +1,5 @@
 from collections import Counter, defaultdict
-from datetime import datetime
+from datetime import datetime, timedelta
 from itertools import combinations
 from pathlib import Path
 import random
@@ -67,6 +67,35 @@ def test_control_total_of_nothing_is_zero(rows):
     assert groups.control_total(rows([(None,)], "x DECIMAL(18,2)"), "x").first()[0] == 0
 
 
+def test_blocks_cover_an_interval_once(spark):
+    rng = random.Random(6)
+    spans = [(0, 0), (-1, 0), (5, 4), (0, 18_262), (-9_000, 9_261), (1, 2**21)] + [
+        (a, a + rng.choice([0, 1, 2, 7, 150, 4000])) for a in (rng.randrange(-500, 500) for _ in range(60))
+    ]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spans)], "i INT, a BIGINT, b BIGINT")
+    for r in df.select("i", joins.interval_blocks(F.col("a"), F.col("b")).alias("blocks")).collect():
+        a, b = spans[r.i]
+        parts = sorted((x.block << x.level, (x.block + 1) << x.level) for x in r.blocks)
+        assert len(parts) <= 64, "also for a window of fifty years and more"
+        assert not parts if a > b else (parts[0][0], parts[-1][1]) == (a, b + 1)
+        assert all(x[1] == y[0] for x, y in zip(parts, parts[1:]))
+
+
+def test_windows_of_any_length(spark):
+    rng = random.Random(8)
+    second = lambda: datetime(1960, 1, 1) + timedelta(seconds=rng.randrange(75 * 366 * 86_400))
+    windows = [(i, *sorted([second(), second()])) for i in range(40)] + [(90, datetime(1969, 12, 31, 23), datetime(1970, 1, 1, 1))]
+    events = [(i, second()) for i in range(300)] + [(900, datetime(1970, 1, 1)), (901, windows[0][1]), (902, None)]
+    got = joins.assign_round_by_time(
+        spark.createDataFrame(events, "id INT, ts TIMESTAMP"), spark.createDataFrame(windows, "round_num INT, start_date TIMESTAMP, end_date TIMESTAMP"), "ts"
+    )
+    want = Counter()
+    for i, t in events:
+        inside = [n for n, a, b in windows if t is not None and a < t < b]
+        want.update((i, n) for n in inside or [None])
+    assert Counter((r.id, r.round_num) for r in got.collect()) == want
+
+
 def test_range_join_edges_overlap_and_gaps(rows):
     day = lambda d, h=0: datetime(2024, 1, d, h)
     windows = rows(

@@ -124,6 +124,19 @@ def test_latest_version_reads_only_the_newest_directory(spark, tmp_path):
     assert "PartitionFilters: [(cast(substring(" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_newest_schema_folder_alone_is_opened(spark, tmp_path):
+    for name in ["chain_data_86", "chain_data_93", "chain_data_100", "chain_data_9", "chain_data_x1", "chain_data_1000", "other_200"]:
+        (tmp_path / name / "donations").mkdir(parents=True)
+        (tmp_path / name / "donations" / "part-0.parquet").write_text("not readable")
+    with pytest.raises(Exception, match="not a Parquet|FAILED_READ|CANNOT_READ"):
+        readers.read_newest(spark, str(tmp_path), "donations")
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/chain_data_100/donations")
+    got = readers.read_newest(spark, str(tmp_path), "donations", "id BIGINT")
+    assert got.count() == 4 and all("/chain_data_100/" in f for f in got.inputFiles())
+    with pytest.raises(ValueError, match="no folder"):
+        readers.newest_schema(spark, str(tmp_path), "absent_")
+
+
 def test_jdbc_options():
     got = readers.jdbc_options("jdbc:x:", "s.t", "id", (1, 9), 4, user="u")
     assert got["dbtable"] == "s.t" and got["numPartitions"] == "4" and got["user"] == "u"
