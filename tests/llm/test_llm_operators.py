@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -108,6 +109,27 @@ def test_components_of_awkward_rows(docs):
     assert all(r.component_id == r.doc_id for r in got if r.doc_id not in (1, 2, 3))
 
 
+def _all_pairs(rows):
+    """Least id of each component, by comparing all pairs of sets."""
+    sets = {}
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0d]+", (text or "").lower())
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    parent = {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if j < i and a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return {i: find(i) for i, _ in rows}
+
+
 def test_components_equal_all_pairs(spark):
     """Chains of edits: texts that are linked only through others, and many stars per family."""
     random, rows = np.random.default_rng(5), []
@@ -117,21 +139,50 @@ def test_components_equal_all_pairs(spark):
             words = list(words)
             words[random.integers(60)] = f"x{random.integers(10**6)}"
             rows.append((len(rows), " ".join(words[: random.integers(52, 61)])))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
-    parent = list(range(len(rows)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
-                x, y = sorted((find(i), find(j)))
-                parent[y] = x
     got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in got} == {i: find(i) for i in range(len(rows))}
+    assert {r.doc_id: r.component_id for r in got} == _all_pairs(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_borderline_families_and_shared_passages(spark, seed, monkeypatch):
+    """Copies of one text around the threshold, passages that many texts share, short texts, exact copies."""
+    random, rows = np.random.default_rng(seed), []
+    passages = [" ".join(f"p{p}w{i}" for i in range(30)) for p in range(4)]
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(int(random.integers(20, 160)))]
+        for _ in range(40):
+            words = [f"x{random.integers(10**6)}" if random.random() < random.choice([0.0, 0.01, 0.03]) else w for w in base]
+            text = " ".join(words[int(random.integers(0, 4)) :])
+            if random.random() < 0.3:
+                text += " " + passages[random.integers(4)]
+            rows.append((len(rows), text))
+    for _ in range(40):
+        picked = random.permutation(4)[: int(random.integers(1, 5))]
+        rows.append((len(rows), " ".join(passages[p] for p in picked)))
+        rows.append((len(rows), " ".join(["a", "b", "c", "d", "e", "f", "g"][: int(random.integers(0, 8))])))
+    rows += [(len(rows) + i, rows[i][1]) for i in range(0, 100, 7)] + [(len(rows) + 50, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = _all_pairs(rows)
+    assert {r.doc_id: r.component_id for r in jaccard.similar_components(frame).collect()} == want
+    # However little contraction finds, opening the stars finds the rest.
+    monkeypatch.setattr(jaccard, "_drawn_sets", lambda across, percent: across.select("node", "star", F.col("node").alias("other")).limit(0))
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 3)
+    assert {r.doc_id: r.component_id for r in jaccard.similar_components(frame).collect()} == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 60), st.integers(0, 20), st.integers(0, 20), st.integers(0, 2**32 - 1))
+def test_prefixes_of_linked_sets_share_enough(common, left, right, seed):
+    random = np.random.default_rng(seed)
+    tokens = random.permutation(10_000)[: common + left + right]
+    a, b = sorted(tokens[: common + left]), sorted([*tokens[:common], *tokens[common + left :]])
+    if 100 * common < 80 * (common + left + right):
+        return
+
+    needs = lambda n: jaccard.prefix_needs(n, 80)
+    heads = [set(s[: needs(len(s))[0]]) for s in (a, b)]
+    for s in (a, b):
+        assert len(heads[0] & heads[1]) >= needs(len(s))[1]
 
 
 def test_decontamination_against_edit_distance(spark):
