@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # White space of the word rule: space and the control characters 9 to 13.
@@ -37,6 +40,25 @@ def worker_state(name: str) -> ModuleType:
     return sys.modules.setdefault(f"_worker_state_{name}", ModuleType(name))
 
 
+def release_memory() -> None:
+    """Give unused memory back to the system: idle workers of earlier stages count as well."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function over batches, which gives memory back when its task ends."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (the finaliser of MurmurHash3)."""
     h = h ^ (h >> np.uint64(33))
@@ -47,12 +69,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64, kept in the worker and doubled when short."""
+    """base^0 .. base^(n-1) modulo 2^64; those of a chunk of texts are kept in the worker."""
     state = worker_state("powers")
     known = getattr(state, str(base), np.ones(1, np.uint64))
     while len(known) < n:
         known = np.concatenate([known, known * np.uint64(pow(base, len(known), 2**64))])
-    setattr(state, str(base), known)
+        if len(known) <= 2 * CHUNK_BYTES:
+            setattr(state, str(base), known)
     return known[:n]
 
 

@@ -9,13 +9,14 @@ diagonals overlap by half, so one of them holds every such run.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fundlens.llm.common import in_chunks, mix
+from fundlens.llm.common import in_chunks, mix, releasing
 
 Q = 12
 EDIT_RATE = 0.06
@@ -81,6 +82,9 @@ class PassageIndex:
 
     def __init__(self, items: list[tuple[int, bytes]], q: int = Q, rate: float = EDIT_RATE):
         self.q, self.items = q, [(i, t) for i, t in items if len(t) >= q]
+        # Too short for a q-gram, and for an edit: found as they are, between the ends of words.
+        short = [(i, t) for i, t in items if 0 < len(t) < q]
+        self.short = [(i, re.compile(rb"(?<![^ ])" + re.escape(t) + rb"(?![^ ])")) for i, t in short]
         codes = [gram_codes(t, q) for _, t in self.items]
         sizes = [len(c) for c in codes]
         every = np.concatenate(codes) if codes else np.empty(0, np.uint64)
@@ -128,6 +132,10 @@ class PassageIndex:
 
     def matches(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item_id, start, end, edits) of the verified regions."""
+        for item_id, pattern in self.short:
+            for n, text in enumerate(texts):
+                for match in pattern.finditer(text):
+                    yield n, item_id, match.start(), match.end(), 0
         gap = bytes(self.q)
         data = gap.join(texts)
         begins = np.cumsum([0] + [len(t) + self.q for t in texts])
@@ -148,8 +156,9 @@ def benchmark_matches(
     """(doc_id, item_id, start, end, edits): where a document has a passage with at most ``edit_rate`` edits per byte.
 
     Places are bytes of the canonical text; passages that touch each other count as
-    one place with the best match. Passages with fewer than q bytes say too little and
-    never match; null texts have none. Repeated documents or items give repeated rows.
+    one place with the best match. Passages with fewer than q bytes match without edits
+    and as whole words; null and empty ones never match, null texts have none. Repeated
+    documents or items give repeated rows, an empty table on either side none.
     Passages are shipped in rounds of a checked size, each against all documents.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -174,7 +183,7 @@ def benchmark_matches(
                 names = ["doc_id", "item_id", "start", "end", "edits"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-        found.append(narrow.mapInArrow(search, MATCHES))
+        found.append(narrow.mapInArrow(releasing(search), MATCHES))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

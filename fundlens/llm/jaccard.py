@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fundlens.llm.common import in_chunks, mix, only, window_hashes, word_hashes
+from fundlens.llm.common import in_chunks, mix, only, releasing, window_hashes, word_hashes
 from fundlens.operators.linking import connected_components
 from fundlens.session import Step, cut_lineage
 
@@ -114,7 +114,7 @@ def document_heads(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "text_hash", "least", "found", "fresh", "known"])
 
     schema = "doc_id long, n_shingles long, digest long, text_hash long, least int, found int, fresh array<int>, known array<int>"
-    return _narrow(docs).mapInArrow(hashed, schema)
+    return _narrow(docs).mapInArrow(releasing(hashed), schema)
 
 
 def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -128,7 +128,7 @@ def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             tokens = _lists(flat, np.repeat(np.arange(len(sets)), sizes), np.ones(len(sets), bool))
             yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), tokens], names=["digest", "n", "tokens"])
 
-    sets = _narrow(docs).mapInArrow(hashed, "digest long, n long, tokens array<long>")
+    sets = _narrow(docs).mapInArrow(releasing(hashed), "digest long, n long, tokens array<long>")
     return sets.groupBy("digest").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
 

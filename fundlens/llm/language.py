@@ -6,13 +6,14 @@ through the words pays a penalty for every switch of language.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fundlens.llm.common import in_chunks, mix
+from fundlens.llm.common import in_chunks, mix, releasing, worker_state
 
 # Fixed values: (name, first, last code point) of letters; signs inside a range count as letters.
 SCRIPTS = [
@@ -43,54 +44,80 @@ BUCKET_BITS = 15
 GRAMS = (1, 2, 3, 4)
 # Labelled rows per language that the model learns from (in expectation).
 TRAIN_ROWS = 2000
+MOST_LANGUAGES = 1000
+# Characters of texts that are labelled together: their distinct words are scored once.
+CHUNK_CHARS = 2_000_000
 SMOOTHING = 0.5
 SWITCH_PENALTY = 12.0
 # A language uses a script if so much of its letters are in it.
 SCRIPT_SHARE = 0.01
 _OTHER_SCRIPT = -30.0
 
-_FIRST = np.array([a for _, a, _ in SCRIPTS], np.int64)
-_LAST = np.array([b for _, _, b in SCRIPTS], np.int64)
 SCRIPT_NAMES = list(dict.fromkeys(n for n, _, _ in SCRIPTS))
-_SCRIPT = np.array([SCRIPT_NAMES.index(n) for n, _, _ in SCRIPTS], np.int8)
+OTHER = len(SCRIPT_NAMES)  # letters of any other script
 
 
-def _letters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of the lower-cased texts with a gap around each, their script (-1: no letter), where texts begin."""
-    lowered = [(t or "").lower() for t in texts]
-    points = np.frombuffer((" " + " ".join(lowered) + " ").encode("utf-32-le"), "<u4").astype(np.int64)
-    begins = 1 + np.concatenate([[0], np.cumsum([len(t) + 1 for t in lowered])])
-    place = np.searchsorted(_FIRST, points, "right") - 1
-    inside = (place >= 0) & (points <= _LAST[place])
-    return points, np.where(inside, _SCRIPT[place], -1), begins
+def _script_table() -> np.ndarray:
+    """Script of every code point, -1 if it is no letter; kept in the worker."""
+    state = worker_state("scripts")
+    if not hasattr(state, "table"):
+        letters = (OTHER if unicodedata.category(chr(p))[0] == "L" else -1 for p in range(0x110000))
+        state.table = np.fromiter(letters, np.int8, 0x110000)
+        for name, first, last in SCRIPTS:
+            state.table[first : last + 1] = SCRIPT_NAMES.index(name)
+    return state.table
 
 
-class _Words:
-    """Letter runs of some texts: buckets of all n-grams, and where words and texts begin."""
+class Words:
+    """Letter runs of some texts: the distinct ones, which of them stands where, and where texts begin."""
 
     def __init__(self, texts: list[str | None]):
-        points, script, begins = _letters(texts)
+        lowered = [(t or "").lower() for t in texts]
+        joined = " " + " ".join(lowered) + " "
+        script = _script_table()[np.frombuffer(joined.encode("utf-32-le"), "<u4")]
+        begins = 1 + np.concatenate([[0], np.cumsum([len(t) + 1 for t in lowered])])
         letter = script >= 0
         self.starts = np.flatnonzero(~letter[:-1] & letter[1:]) + 1
         self.ends = np.flatnonzero(letter[:-1] & ~letter[1:]) + 1
         self.script = script[self.starts]
         self.texts = np.searchsorted(self.starts, begins)
-        self.letter = letter
-        plain = np.where(letter, points, 32).astype(np.uint64)  # every other sign is a gap
-        code, self.buckets = np.zeros(len(plain), np.uint64), []
-        for n in range(1, max(GRAMS) + 1):  # n-grams that end at each place
-            shifted = plain if n == 1 else np.concatenate([np.full(n - 1, 32, np.uint64), plain[: 1 - n]])
-            code = mix(code * np.uint64(31) + shifted + np.uint64(n))
-            if n in GRAMS:
-                self.buckets.append((code >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+        index: dict[str, int] = {}
+        found = (index.setdefault(joined[a:b], len(index)) for a, b in zip(self.starts.tolist(), self.ends.tolist()))
+        self.which = np.fromiter(found, np.int64, len(self.starts))
+        self.distinct = list(index)
+
+
+def word_grams(words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Buckets of the n-grams that end at each letter of the words, by n, and the word of each letter.
+
+    Before its first letter a word has gaps alone, so a word's n-grams are its own.
+    """
+    gap = max(GRAMS) - 1
+    points = np.frombuffer((" " * gap + (" " * gap).join(words) + " ").encode("utf-32-le"), "<u4").astype(np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    owner = np.repeat(np.arange(len(words)), lengths)
+    places = np.arange(len(owner)) + gap * (owner + 1)
+    code, buckets = np.zeros(len(points), np.uint64), []
+    for n in range(1, max(GRAMS) + 1):
+        shifted = points if n == 1 else np.concatenate([np.full(n - 1, 32, np.uint64), points[: 1 - n]])
+        code = mix(code * np.uint64(31) + shifted + np.uint64(n))
+        if n in GRAMS:
+            buckets.append((code[places] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+    return buckets, owner
 
 
 def learning_rows(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(lang, text) of about ``rows`` labelled documents per language, chosen by a hash of the text."""
     named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = named.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))  # one row per language
+    counts = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    # A share per language in the filter itself: no text is shuffled to its language.
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
-    return named.join(counts, "lang").where(draw < F.lit(rows) / F.col("_n")).select("lang", "text")
+    chosen = F.lit(False)
+    for r in counts:
+        chosen |= (F.col("lang") == r["lang"]) & (draw < min(1.0, rows / r["n"]))
+    return named.where(chosen).select("lang", "text")
 
 
 class LanguageModel:
@@ -102,45 +129,49 @@ class LanguageModel:
         self.scores = np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32).T.copy()
         uses = scripts >= SCRIPT_SHARE * scripts.sum(1, keepdims=True)
         uses |= ~uses.any(0)  # a script that no language uses tells nothing
+        uses[:, OTHER:] = True  # nor do letters of scripts that have no name here
         self.narrowing = np.where(uses, 0.0, _OTHER_SCRIPT).T
 
     @classmethod
     def fit(cls, docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
         """Count buckets on the executors; the counts are bounded by languages and buckets."""
 
+        buckets, scripts = 1 << BUCKET_BITS, OTHER + 1
+
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[str, np.ndarray] = {}
             for batch in batches:
                 for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    words = _Words([text])
-                    total = sums.setdefault(lang, np.zeros((1 << BUCKET_BITS) + len(SCRIPT_NAMES), np.int64))
-                    for buckets in words.buckets:
-                        total[: 1 << BUCKET_BITS] += np.bincount(buckets[words.letter], minlength=1 << BUCKET_BITS)
-                    total[1 << BUCKET_BITS :] += np.bincount(
-                        words.script, words.ends - words.starts, len(SCRIPT_NAMES)
-                    ).astype(np.int64)
+                    words = Words([text])
+                    total = sums.setdefault(lang, np.zeros(buckets + scripts, np.int64))
+                    grams, owner = word_grams(words.distinct)
+                    times = np.bincount(words.which, minlength=len(words.distinct))[owner]
+                    for places in grams:
+                        total[:buckets] += np.bincount(places, times, buckets).astype(np.int64)
+                    total[buckets:] += np.bincount(words.script, words.ends - words.starts, scripts).astype(np.int64)
             for lang, total in sums.items():
                 keys = np.flatnonzero(total)
                 columns = [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(total[keys])]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "key", "n"])
 
-        counted = learning_rows(docs, rows).mapInArrow(count, "lang string, key long, n long")
+        counted = learning_rows(docs, rows).mapInArrow(releasing(count), "lang string, key long, n long")
         table = counted.groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
         langs = sorted(table["lang"].unique())
-        matrix = np.zeros((len(langs), (1 << BUCKET_BITS) + len(SCRIPT_NAMES)))
+        matrix = np.zeros((len(langs), buckets + scripts))
         matrix[[langs.index(x) for x in table["lang"]], table["key"].to_numpy(int)] = table["n"].to_numpy()
-        return cls(langs, matrix[:, : 1 << BUCKET_BITS], matrix[:, 1 << BUCKET_BITS :])
+        return cls(langs, matrix[:, :buckets], matrix[:, buckets:])
 
-    def word_scores(self, words: _Words) -> np.ndarray:
-        """Score of each word in each language: its n-grams, and whether its script fits."""
-        per_place = sum(self.scores[b] for b in words.buckets).astype(np.float64)
-        per_place[~words.letter] = 0
-        sums = np.vstack([np.zeros(len(self.langs)), np.cumsum(per_place, 0)])
-        return sums[words.ends] - sums[words.starts] + self.narrowing[words.script]
+    def word_scores(self, words: Words) -> np.ndarray:
+        """Score of each word in each language: its n-grams, once per distinct word, and whether its script fits."""
+        grams, owner = word_grams(words.distinct)
+        per_place = sum(self.scores[b] for b in grams).astype(np.float64)
+        begins = np.searchsorted(owner, np.arange(len(words.distinct)))
+        sums = np.add.reduceat(per_place, begins, axis=0) if len(begins) else np.zeros((0, len(self.langs)))
+        return sums[words.which] + self.narrowing[words.script]
 
     def label(self, texts: list[str | None], penalty: float = SWITCH_PENALTY) -> Iterator[list[tuple[str, int, int, int]]]:
         """Per text its spans (language, first place, end, letters), in order."""
-        words = _Words(texts)
+        words = Words(texts)
         paths = viterbi(self.word_scores(words), words.texts, penalty) if self.langs else None
         for i in range(len(texts)):
             a, b = words.texts[i], words.texts[i + 1]
@@ -196,7 +227,7 @@ def identify(docs: DataFrame, model: LanguageModel, with_spans: bool = False) ->
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs, shares, spans = batch.column(1).to_pylist(), [], [], []
-            for start, end in in_chunks(texts):
+            for start, end in in_chunks(texts, CHUNK_CHARS):
                 for found in model.label(texts[start:end]):
                     sums: dict[str, int] = {}
                     for lang, _, _, n in found:
@@ -213,13 +244,21 @@ def identify(docs: DataFrame, model: LanguageModel, with_spans: bool = False) ->
 
     schema = "doc_id long, lang_pred string, score double" + (f", spans {span}" if with_spans else "")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(label, schema)
+    return narrow.mapInArrow(releasing(label), schema)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Rows of ``docs``, all columns, whose text has a language."""
-    labels = identify(docs, model).where(F.col("lang_pred") != UNDETERMINED).select("doc_id").distinct()
-    return docs.join(labels, "doc_id", "left_semi")
+    """Rows of ``docs``, all columns, whose text has a language; rows without an id and repeated rows as well."""
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, named = batch.column(place).to_pylist(), []
+            for start, end in in_chunks(texts, CHUNK_CHARS):
+                named += [bool(spans) for spans in model.label(texts[start:end])]
+            yield batch.filter(pa.array(named, pa.bool_()))
+
+    return docs.mapInArrow(releasing(keep), docs.schema)
 
 
 def id_remainder(modulus: int) -> Column:

@@ -16,48 +16,47 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fundlens.llm.common import _LOWER, only, worker_state
+from fundlens.llm.common import _LOWER, in_chunks, only, releasing, worker_state
+from fundlens.llm.word_cache import WordCache
 from fundlens.session import cut_lineage
 
 CAPACITY = 2048
 END_ID = 1
-# Words whose ids a worker keeps; longer words are encoded each time.
-CACHED_WORDS, CACHED_BYTES = 300_000, 64
+# Bytes of each generation of a worker's cache; longer words are encoded each time.
+CACHE_BYTES, LONGEST = 64_000_000, 64
+# Characters of text whose distinct words are looked up together.
+CHUNK_CHARS = 2_000_000
 # Pieces of one bucket; ranks are counted within a bucket and length.
 ROWS_PER_BUCKET, LEAST_BUCKETS = 100_000, 64
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-class _WordIds(dict):
-    """Ids (as unsigned 32-bit bytes) of words without white space, looked up once."""
+class _WordIds:
+    """Ids (as unsigned 32-bit bytes) of words without white space, looked up in the worker's cache."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.points = {p: self._encode(p) for p in (b".", b",")}
-        self[b""] = b""
+        self.cache = WordCache(CACHE_BYTES)
+        self.points = {p: self.encode(p) for p in (b".", b",")}
 
-    def _encode(self, word: bytes) -> bytes:
+    def encode(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Encode the unknown words of a batch in one call."""
-        if len(self) + len(words) > CACHED_WORDS:
-            self.clear()
-            self[b""] = b""
-        new = [w for w in words if len(w) <= CACHED_BYTES and w not in self]
-        # A letter before the last full stop or comma: the sign is a token run of its own.
-        pointed = [w for w in new if w[-1:] in self.points and w[-2:-1].isalpha()]
-        stems = {w[:-1] for w in pointed}.difference(self)
-        plain = list(stems.union(new).difference(pointed))
-        batch = self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)
-        self.update(zip(plain, (np.array(e.ids, "<u4").tobytes() for e in batch)))
-        self.update((w, self[w[:-1]] + self.points[w[-1:]]) for w in pointed)
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        batch = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in batch]
 
-    def __missing__(self, word: bytes) -> bytes:
-        return self._encode(word)
+    def ids(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of each of the distinct words; unknown ones are encoded in one call."""
+        # A letter before the last full stop or comma: the sign is a token run of its own.
+        pointed = {w for w in words if w[-1:] in self.points and w[-2:-1].isalpha()}
+        plain = words.difference(pointed).union(w[:-1] for w in pointed)
+        known = self.cache.lookup(plain, self._encoded, LONGEST)
+        known.update((w, known[w[:-1]] + self.points[w[-1:]]) for w in pointed)
+        return known
 
 
 def _encoder(path: str):
@@ -69,14 +68,14 @@ def _encoder(path: str):
 
 
 def _ids_of_batch(texts: list[str | None], path: str) -> Iterator[bytes]:
-    known = _encoder(path)
-    for start in range(0, len(texts), 500):
+    encoder = _encoder(path)
+    for start, end in in_chunks(texts, CHUNK_CHARS):
         # A to Z in lower case as the tokenizer does it; its special tokens are told by their "<|".
-        split = [(t or "").encode().translate(_LOWER).split() for t in texts[start : start + 500]]
-        special = [bool(t) and "<|" in t for t in texts[start : start + 500]]
-        known.learn({w for words, s in zip(split, special) if not s for w in words})
-        for text, words, odd in zip(texts[start : start + 500], split, special):
-            yield known._encode(text.encode()) if odd else b"".join(map(known.__getitem__, words))
+        split = [(t or "").encode().translate(_LOWER).split() for t in texts[start:end]]
+        special = [bool(t) and "<|" in t for t in texts[start:end]]
+        known = encoder.ids({w for words, s in zip(split, special) if not s for w in words})
+        for text, words, odd in zip(texts[start:end], split, special):
+            yield encoder.encode(text.encode()) if odd else b"".join(map(known.__getitem__, words))
 
 
 def tokenized_pieces(
@@ -106,7 +105,7 @@ def tokenized_pieces(
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     schema = PIECES + (", ids binary" if with_ids else "")
-    return only(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(cut, schema)
+    return only(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(releasing(cut), schema)
 
 
 def place_lengths(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -260,6 +260,41 @@ def test_language_spans(spark, docs):
     assert language.keep_identified(docs, model).columns == docs.columns
 
 
+def test_only_texts_without_a_letter_are_undetermined(spark):
+    model = language.LanguageModel.fit(spark.createDataFrame([(1, "the house", "en"), (2, "das haus", "de")], "doc_id long, text string, lang string"))
+    texts = ["বাংলা", "தமிழ்", "አማርኛ", "ខ្មែរ", "ລາວ", "ᏣᎳᎩ", "Ｆｕｌｌ", "ﬁ", "汉字", "ʻ", "हिन्दी", "1a", "𝒳"]
+    none = ["", None, " 12 !? ½ ", "\u0301", "😀", "Ⅷ"]
+    frame = spark.createDataFrame(list(enumerate(texts + none)), "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(frame, model).collect()}
+    assert {got[i] for i in range(len(texts))} <= {"en", "de"}
+    assert all(got[len(texts) + i] == "und" for i in range(len(none)))
+
+
+def test_word_scores_equal_a_plain_sum(spark):
+    """Learning and scores from n-grams that are listed letter by letter."""
+    rows = [(1, "Haus und Hof, Haus", "de"), (2, "the house", "en"), (3, "und", "de")]
+    model = language.LanguageModel.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+    def grams(word):
+        padded = "   " + word
+        for at in range(3, len(padded)):
+            for n in language.GRAMS:
+                yield n, tuple(padded[at - n + 1 : at + 1])
+
+    counts = {lang: Counter() for lang in ("de", "en")}
+    for _, text, lang in rows:
+        for word in re.findall("[a-z]+", text.lower()):
+            counts[lang].update(grams(word))
+    words = language.Words(["haus hof the"])
+    scores = model.word_scores(words)
+    # Buckets may be shared by chance only: compare by the exact counts of n-grams.
+    total = {lang: sum(c.values()) + 0.5 * (1 << language.BUCKET_BITS) for lang, c in counts.items()}
+    for w, word in enumerate(["haus", "hof", "the"]):
+        for k, lang in enumerate(model.langs):
+            plain = sum(np.log((counts[lang][g] + 0.5) / total[lang]) for g in grams(word))
+            assert scores[w, k] == pytest.approx(plain, rel=1e-4)
+
+
 def test_viterbi_equals_brute_force():
     random = np.random.default_rng(3)
     lengths = [0, 4, 1, 6]
@@ -326,6 +361,63 @@ def test_empty_tables(spark, empty):
         assert frame.count() == 0
 
 
+def test_counts_above_32_bits_survive():
+    values = np.array([0, 1, 2**32 - 1, 2**32, 5_000_000_000, 2**62], np.int64)
+    assert (lm._unsqueeze(lm._squeeze(values)) == values).all()
+
+
+def test_short_passages_match_as_whole_words(spark):
+    frame = spark.createDataFrame([(1, "xx Short, ITEM yy short item"), (2, "short items"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "short item"), (8, ""), (9, "!?"), (7, "short item")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.end, r.edits) for r in decontaminate.benchmark_matches(frame, bench).collect())
+    assert got == [(1, 7, 3, 13, 0)] * 2 + [(1, 7, 17, 27, 0)] * 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abcd ", min_size=24, max_size=70), st.text("abcd ", max_size=30), st.text("abcd ", max_size=30), st.lists(st.tuples(st.integers(0, 69), st.sampled_from("abe")), max_size=4))
+def test_filter_loses_no_passage_within_the_budget(item, before, after, edits):
+    canonical = decontaminate.canonical(item)
+    if len(canonical) < 8:
+        return
+    index = decontaminate.PassageIndex([(1, canonical)], 8, 0.2)
+    changed = list(canonical.decode())
+    for place, letter in edits:
+        if place < len(changed):
+            changed[place] = letter
+    text = decontaminate.canonical(before + "".join(changed) + after)
+    least = _semi_global(canonical, text)
+    found = [e for *_, e in index.matches([text])]
+    assert (min(found) == least) if least <= index.budget[0] else not found
+
+
+AWKWARD = [
+    (None, "no id " + SAME, "en", "a", 1, "x"), (None, "no id " + SAME, "en", "a", 1, "x"), (None, "other " + SAME.replace("two", "zwei"), "en", "a", 1, "y"),
+    (3, SAME, "en", "a", 1, "z"), (3, SAME, "en", "a", 1, "z"), (3, "### 12 " * 40, "en", "a", 1, "w"), (4, None, None, None, None, None),
+    (5, "", "en", "b", 0, "v"), (6, " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(9000)), "fr", "c", 1, "u"),
+]
+
+
+@pytest.mark.parametrize("stage", [s for s, _ in corpus_pipeline.STAGES])
+def test_stages_on_awkward_rows(spark, stage, tmp_path):
+    """Rows without an id, repeated rows, different rows of one id, further columns, empty tables."""
+    root = str(tmp_path)
+    spark.createDataFrame([(1, "a passage that is nowhere in these documents at all")], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
+    function = dict(corpus_pipeline.STAGES)[stage]
+    frame = spark.createDataFrame(AWKWARD, schema)
+    got = Counter(map(tuple, function(spark, frame, root).collect())) if stage != "pack" else None
+    every = Counter(AWKWARD)
+    if stage == "quality":  # too many repeats, or too few words
+        assert got == Counter([AWKWARD[8]])
+    elif stage == "language":
+        assert got == every - Counter(AWKWARD[5:8])
+    elif stage == "near_copies":  # one of equal rows, and of SAME and its near copies the least id
+        assert sum(got.values()) == len(got) and AWKWARD[3] in got and AWKWARD[6] in got and AWKWARD[8] in got
+    elif stage == "benchmark_passages":
+        assert got == every
+    assert function(spark, frame.limit(0), root).count() == 0
+
+
 def test_pipeline_keeps_whole_documents(spark):
     root = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{root}/documents.parquet")
