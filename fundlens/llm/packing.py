@@ -9,7 +9,9 @@ at a time. Only the histogram, at most one number per length, reaches the driver
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +24,9 @@ from fundlens.session import cut_lineage
 
 CAPACITY = 2048
 END_ID = 1
-# Bytes of each generation of a worker's cache; longer words are encoded each time.
-CACHE_BYTES, LONGEST = 64_000_000, 64
+# Bytes of each generation of a worker's cache.
+CACHE_BYTES = 64_000_000
+WORDS_PER_TEXT = 512
 # Characters of text whose distinct words are looked up together.
 CHUNK_CHARS = 2_000_000
 # Pieces of one bucket; ranks are counted within a bucket and length.
@@ -38,25 +41,39 @@ class _WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks use all cores already
         self.tokenizer = Tokenizer.from_file(path)
         self.cache = WordCache(CACHE_BYTES)
         self.points = {p: self.encode(p) for p in (b".", b",")}
+        self.mark = b"|"
+        (self.mark_id,) = np.frombuffer(self.encode(self.mark), "<u4").tolist()
 
     def encode(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _encoded(self, words: list[bytes]) -> list[bytes]:
-        batch = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in batch]
+        # A letter before the last full stop or comma: the sign is a token run of its own.
+        points = [self.points.get(w[-1:], b"") if w[-2:-1].isalpha() else b"" for w in words]
+        stems = [w[:-1] if p else w for w, p in zip(words, points)]
+        # Many words as one text, with a mark between them that has a token of its own.
+        out = [self.encode(w) if self.mark in w else b"" for w in stems]
+        marked = [i for i, w in enumerate(stems) if self.mark not in w]
+        groups = [marked[at : at + WORDS_PER_TEXT] for at in range(0, len(marked), WORDS_PER_TEXT)]
+        texts = [(b" %b " % self.mark).join(stems[i] for i in g).decode() for g in groups]
+        for group, encoding in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = array("I", encoding.ids)
+            cuts = [-1, *np.flatnonzero(np.frombuffer(ids, "<u4") == self.mark_id).tolist(), len(ids)]
+            data = ids.tobytes()
+            for i, a, b in zip(group, cuts, cuts[1:], strict=False):
+                out[i] = data[4 * a + 4 : 4 * b]
+            if len(cuts) != len(group) + 1:  # not seen, but then each word alone
+                for i in group:
+                    out[i] = self.encode(stems[i])
+        return [w + p for w, p in zip(out, points)]
 
     def ids(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of each of the distinct words; unknown ones are encoded in one call."""
-        # A letter before the last full stop or comma: the sign is a token run of its own.
-        pointed = {w for w in words if w[-1:] in self.points and w[-2:-1].isalpha()}
-        plain = words.difference(pointed).union(w[:-1] for w in pointed)
-        known = self.cache.lookup(plain, self._encoded, LONGEST)
-        known.update((w, known[w[:-1]] + self.points[w[-1:]]) for w in pointed)
-        return known
+        """Ids of at least the given words."""
+        return self.cache.holding(words, self._encoded)
 
 
 def _encoder(path: str):

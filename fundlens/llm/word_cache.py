@@ -9,41 +9,28 @@ _ENTRY_BYTES = 150
 
 
 class WordCache:
-    """Words and their values in two generations, each of at most ``budget`` bytes.
+    """Words and their values in two generations, and ``pinned`` ones that always stay.
 
-    A word that is used moves to the young generation; when that is full it
-    becomes the old one and the former old one is dropped. Frequent words are
-    thus never lost, whatever number of rare ones passes by.
+    A word that is used moves to the young generation; when that holds ``budget``
+    bytes it becomes the old one and the former old one is dropped. Frequent words
+    are thus never lost, whatever number of rare ones passes by. Each generation may
+    exceed the budget by the words of one call.
     """
 
-    def __init__(self, budget: int):
+    def __init__(self, budget: int, pinned: dict | None = None):
         self.budget = budget
-        self.young: dict = {}
-        self.old: dict = {}
-        self.used = 0
-
-    def lookup(self, words: Collection[Hashable], encode: Callable[[list], Collection], longest: int = 64) -> dict:
-        """Value of each distinct word; the unknown ones are encoded in one call, those over ``longest`` not kept."""
-        found, unknown = {}, []
-        for word in words:
-            value = self.young.get(word)
-            if value is None:
-                value = self.old.get(word)
-                if value is None:
-                    unknown.append(word)
-                    continue
-                self._keep(word, value)
-            found[word] = value
+        self.pinned = pinned or {}
+        self.young, self.old, self.used = dict(self.pinned), {}, 0
+
+    def holding(self, words: set[Hashable], encode: Callable[[list], Collection]) -> dict:
+        """A dictionary that holds at least the given words; the unknown ones are encoded in one call."""
+        if self.used > self.budget:
+            self.old, self.young, self.used = self.young, dict(self.pinned), 0
+        missing = words.difference(self.young)
+        back = [w for w in missing if w in self.old]
+        self.young.update((w, self.old[w]) for w in back)
+        unknown = list(missing.difference(back))
         if unknown:
-            for word, value in zip(unknown, encode(unknown)):
-                found[word] = value
-                if len(word) <= longest:
-                    self._keep(word, value)
-        return found
-
-    def _keep(self, word: Hashable, value) -> None:
-        size = _ENTRY_BYTES + len(word) + (len(value) if isinstance(value, bytes) else 0)
-        if self.used + size > self.budget:
-            self.old, self.young, self.used = self.young, {}, 0
-        self.young[word] = value
-        self.used += size
+            self.young.update(zip(unknown, encode(unknown)))
+        self.used += sum(map(len, missing)) + _ENTRY_BYTES * len(missing)
+        return self.young

@@ -79,16 +79,18 @@ def test_other_tokenizers_are_refused():
 
 
 def test_cache_keeps_frequent_words():
-    cache, asked = WordCache(2000), Counter()
+    cache, asked = WordCache(2000, {"pinned": 6}), Counter()
 
     def encode(words):
         asked.update(words)
         return [len(w) for w in words]
 
     for i in range(200):
-        assert cache.lookup({"often", f"rare{i}", "long" * 30}, encode) == {"often": 5, f"rare{i}": len(f"rare{i}"), "long" * 30: 120}
-        assert len(cache.young) + len(cache.old) < 30
-    assert asked["often"] == 1 and asked["long" * 30] == 200
+        words = {"often", f"rare{i}", "pinned"}
+        held = cache.holding(words, encode)
+        assert all(held[w] == len(w) for w in words)
+        assert len(cache.young) + len(cache.old) < 35
+    assert asked["often"] == 1 and asked["pinned"] == 0
 
 
 # Conversation repair
