@@ -1,14 +1,16 @@
 """Main text of web pages from flat text blocks.
 
-A page is a list of text blocks. Each has its word count and link density, those of
-its neighbours, and what encloses it; a decision tree tells text from the rest
-(Kohlschuetter et al., "Boilerplate Detection using Shallow Text Features", 2010).
+A page is a list of text blocks. A decision tree tells text from the rest by the word
+count and link density of a block and its neighbours (Kohlschuetter et al., "Boilerplate
+Detection using Shallow Text Features", 2010). Blocks that these leave open, such as a
+one-word paragraph against a one-line advert, are told apart by what encloses them too.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,46 +26,81 @@ INLINE = frozenset(
 )
 RAW = frozenset("script style noscript template textarea title iframe object svg math select button video audio canvas".split())
 CONTAINERS = frozenset("article main section div nav header footer aside form ul ol dl table body figure blockquote details dialog menu fieldset".split())
-SIDE = frozenset("nav footer aside form menu dialog".split())
-# Words of class, id and role that name a part of a page that is not its article.
+SIDE = frozenset("nav footer aside menu dialog".split())
+ENDED_BY_NEXT = frozenset("li dt dd tr td th option".split())
+# Words of class, id and role: those that name a part other than the article, and those that only hint at one.
 SIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "notice gdpr popup modal overlay nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side widget rail "
-    "footer foot masthead topbar header comment comments commentlist reply replies respond disqus discussion share sharing "
-    "social related recommended recommendations newsletter subscribe subscription signup login search form toolbar pagination "
-    "pager tags copyright legal disclaimer alert skip contentinfo complementary teaser".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent notice gdpr popup modal "
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar footer masthead topbar comment comments commentlist "
+    "replies respond disqus newsletter subscribe subscription signup login search pagination pager copyright contentinfo "
+    "complementary".split()
+)
+HINT_WORDS = frozenset(
+    "side rail widget banner overlay header foot social share sharing related recommended recommendations promo promotion "
+    "teaser discussion reply toolbar tags legal disclaimer alert skip form".split()
 )
 MAIN_WORDS = frozenset("article main content post entry story body text".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _NAMING = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
+_WRAPPED = re.compile(r"<(?:article|main|h1)[\s>]", re.I)
+_FORM_END = re.compile(r"</form", re.I)
+DENSITIES = 6
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "side", "main")
 
 
 def _kind(tag: str, attributes: str, inside: tuple[int, int]) -> tuple[int, int]:
-    """(side, main) of what an element encloses: a side part stays one, an article's own header does not become one."""
+    """(side, main) of what an element encloses; ``side`` is 2 for a part that is no article, 1 for a hint of one.
+
+    A part stays what it is within; an article's own header is part of the article.
+    """
     side, main = inside
     names = {w for m in _NAMING.finditer(attributes) for w in re.findall(r"[a-z]+", m[1].lower())} if attributes else set()
     if tag in SIDE or _HIDDEN.search(attributes) or (tag == "header" and not main):
-        side = 1
-    elif tag not in ("article", "main", "body", "html") and names & SIDE_WORDS and not (main and names & {"header", "body", "text"}):
-        side = 1
-    if tag in ("article", "main") or names & MAIN_WORDS:
+        side = 2
+    elif tag not in ("article", "main", "body", "html"):
+        if names & SIDE_WORDS:
+            side = 2
+        elif names & HINT_WORDS and not (main and names <= {"header", "post", "entry", "article"}):
+            side = max(side, 1)
+    if tag in ("article", "main"):
+        side, main = (0 if side == 1 else side), 1
+    elif names & MAIN_WORDS:
         main = 1
     return side, main
 
 
+class _Forms:
+    """Tells a form that wraps a whole page, with an article or a title in it, from one that is a part of a page."""
+
+    def __init__(self, page: str):
+        self.ends = [m.start() for m in _FORM_END.finditer(page)]
+        self.titles = [m.start() for m in _WRAPPED.finditer(page)] if "<form" in page.lower() else []
+        self.length = len(page)
+
+    def wraps(self, at: int) -> bool:
+        end = bisect_left(self.ends, at)
+        title = bisect_left(self.titles, at)
+        return title < len(self.titles) and self.titles[title] < (self.ends[end] if end < len(self.ends) else self.length)
+
+
 def text_blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
-    """(text, words, linked words, side, main) of each block in page order; blocks without text are left out."""
+    """(text, words, linked words, side, main) of each block in page order; blocks without text are left out.
+
+    A link stays open over blocks until it, its container or the next link ends it. A paragraph that
+    is not closed ends at the next block, a list item or cell at the next of its kind.
+    """
     page, blocks = page or "", []
+    forms = _Forms(page)
     stack: list[tuple[str, tuple[int, int]]] = []
-    state, linked, parts = (0, 0), 0, []
+    state, link, parts = (0, 0), None, []
 
     def close() -> None:
         text = " ".join(html.unescape("".join(p for p, _ in parts)).split())
         if text:
-            links = len(html.unescape(" ".join(p for p, link in parts if link)).split())
+            links = len(html.unescape(" ".join(p for p, linked in parts if linked)).split())
             words = len(text.split())
             blocks.append((text, words, min(links, words), *state))
         parts.clear()
@@ -71,37 +108,43 @@ def text_blocks(page: str | None) -> list[tuple[str, int, int, int, int]]:
     at = 0
     while at < len(page):
         token = _TOKEN.search(page, at)
-        parts.append((page[at : token.start() if token else len(page)], linked > 0))
+        parts.append((page[at : token.start() if token else len(page)], link is not None))
         if not token:
             break
         at = token.end()
         if not token[2]:
             continue
-        tag, closing = token[2].lower(), bool(token[1])
+        tag, closing, empty = token[2].lower(), bool(token[1]), token[3].endswith("/")
         if tag in RAW:
-            if not closing and not token[3].endswith("/"):
+            if not closing and not empty:
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             parts.append((" ", False))
         elif tag == "a":
-            linked = 0 if closing else 1
+            link = len(stack) if not closing and _HREF.search(token[3]) else None
         elif tag in ("br", "img", "wbr"):
-            parts.append((" ", linked > 0))
+            parts.append((" ", link is not None))
         elif tag not in INLINE:
             close()
-            linked = 0
-            if tag in CONTAINERS or _NAMING.search(token[3]):
-                if not closing:
-                    if not token[3].endswith("/"):
-                        stack.append((tag, state))
+            if not closing:
+                while stack and (stack[-1][0] == "p" or (tag in ENDED_BY_NEXT and stack[-1][0] == tag)):
+                    state = stack.pop()[1]
+                if not empty and (tag in CONTAINERS or _NAMING.search(token[3]) or _HIDDEN.search(token[3])):
+                    stack.append((tag, state))
+                    if tag != "form":
                         state = _kind(tag, token[3], state)
-                elif any(name == tag for name, _ in stack):
+                    elif not forms.wraps(at):
+                        state = (2, state[1])
+            elif tag in CONTAINERS:
+                if any(name == tag for name, _ in stack):
                     while True:
                         name, state = stack.pop()
                         if name == tag:
                             break
-            elif closing and stack and stack[-1][0] == tag:
+            elif stack and stack[-1][0] == tag:
                 state = stack.pop()[1]
+            if link is not None and len(stack) < link:
+                link = None
     close()
     return blocks
 
@@ -114,32 +157,55 @@ def block_features(blocks: list[tuple[str, int, int, int, int]]) -> np.ndarray:
     return np.hstack([own, before[: len(own)], after[: len(own)], np.array([b[3:5] for b in blocks], float).reshape(-1, 2)])
 
 
+def best_split(rows: np.ndarray, labels: np.ndarray, features: range, least: int) -> tuple[int, float] | None:
+    """(feature, cut) of the least Gini impurity, ``least`` rows on either side; None if nothing gets better."""
+    share = labels.mean()
+    best, split = len(labels) * share * (1 - share) - 1e-9, None
+    for feature in features:
+        order = np.argsort(rows[:, feature], kind="stable")
+        values, ones = rows[order, feature], np.cumsum(labels[order])
+        cuts = np.flatnonzero(values[1:] > values[:-1]) + 1
+        cuts = cuts[(cuts >= least) & (len(labels) - cuts >= least)]
+        if not len(cuts):
+            continue
+        low, high = ones[cuts - 1], ones[-1] - ones[cuts - 1]
+        n, m = cuts, len(labels) - cuts
+        impurity = low * (1 - low / n) + high * (1 - high / m)
+        i = int(np.argmin(impurity))
+        if impurity[i] < best:
+            best, split = float(impurity[i]), (feature, float((values[cuts[i] - 1] + values[cuts[i]]) / 2))
+    return split
+
+
 class BlockTree:
-    """Binary decision tree with Gini splits; a leaf holds the share of text blocks."""
+    """Binary decision tree with Gini splits; a leaf holds the share of text blocks.
+
+    It asks for words and link densities of a block and its neighbours first. Only where they leave
+    both kinds mixed it asks what encloses the block as well.
+    """
 
-    def __init__(self, rows: np.ndarray, labels: np.ndarray, depth: int = 5, least: int = 4):
-        self.root = self._grow(rows, labels, depth, least)
+    def __init__(self, rows: np.ndarray, labels: np.ndarray, depth: int = 3, least: int = 400, deeper: int = 6, few: int = 2):
+        self.depth, self.least, self.deeper, self.few = depth, least, deeper, few
+        self.root = self._grow(rows, labels, depth, range(DENSITIES))
 
-    def _grow(self, rows: np.ndarray, labels: np.ndarray, depth: int, least: int):
+    def _grow(self, rows: np.ndarray, labels: np.ndarray, depth: int, features: range):
         share = float(labels.mean())
-        if depth == 0 or share in (0.0, 1.0):
-            return share
-        best = (len(labels) * share * (1 - share) - 1e-9, None, None)
-        for feature in range(rows.shape[1]):
-            values = np.unique(rows[:, feature])
-            for cut in (values[1:] + values[:-1]) / 2:
-                low = rows[:, feature] < cut
-                n, m = int(low.sum()), int((~low).sum())
-                if min(n, m) < least:
-                    continue
-                p, q = labels[low].mean(), labels[~low].mean()
-                impurity = n * p * (1 - p) + m * q * (1 - q)
-                if impurity < best[0]:
-                    best = (impurity, feature, cut)
-        if best[1] is None:
+        if share in (0.0, 1.0):
             return share
-        low = rows[:, best[1]] < best[2]
-        return best[1], best[2], self._grow(rows[low], labels[low], depth - 1, least), self._grow(rows[~low], labels[~low], depth - 1, least)
+        by_text = len(features) == DENSITIES
+        split = best_split(rows, labels, features, self.least if by_text else self.few) if depth else None
+        if split is None:
+            return self._grow(rows, labels, self.deeper, range(rows.shape[1])) if by_text else share
+        low = rows[:, split[0]] < split[1]
+        return (*split, self._grow(rows[low], labels[low], depth - 1, features), self._grow(rows[~low], labels[~low], depth - 1, features))
+
+    def asked(self, row: np.ndarray) -> list[int]:
+        """The features on the way of a block to its leaf."""
+        node, way = self.root, []
+        while isinstance(node, tuple):
+            way.append(node[0])
+            node = node[2] if row[node[0]] < node[1] else node[3]
+        return way
 
     def share(self, row: np.ndarray) -> float:
         node = self.root

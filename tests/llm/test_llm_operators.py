@@ -249,6 +249,80 @@ def test_pages():
     assert [html_text.main_text(x, tree) for x in (None, "", "<p>", "<", "<div class='")][:3] == ["", "", ""]
 
 
+LONG = "A plain paragraph of the article with quite a few words in it."
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f'<nav><a href=/>Home</a></nav><article><p class="social">{LONG}</p><p>End.</p></article>', f"{LONG}\nEnd."),
+        (f'<article><h1>Title</h1><div class="side-by-side"><p>{LONG}</p></div></article><footer>Rights</footer>', f"Title\n{LONG}"),
+        (f"<form><div class=menu><a href=/>a</a></div><h1>Title</h1><p>{LONG}</p><p>More of it.</p><div class=footer>{LONG}</div></form>", f"Title\n{LONG}\nMore of it."),
+        (f'<article><p>{LONG}</p><p class="ad">Buy now<p>{LONG}</p><ul><li class="ad">Buy<li>Item</ul></article>', f"{LONG}\n{LONG}\nItem"),
+        (f"<article><h1><a href=/>Title of it</a></h1><p>{LONG}</p><p>Short.</p></article><nav><a href=/>x</a></nav>", f"Title of it\n{LONG}\nShort."),
+        (f"<main><p>{LONG}</p><p>Last</p></main><form>{LONG}<input></form><div class=comments><p>{LONG * 4}</p></div>", f"{LONG}\nLast"),
+        (f"<div><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul><p>{LONG}</p></div>", LONG),
+        (f"<main><p>{LONG}</p><p>Last</p></main><div class=widget><p>{LONG}</p></div>", f"{LONG}\nLast"),
+        (f"<article><p>{LONG}</p></article><div class=related><ul><li><a href=/a>{LONG}</a><li><a href=/b>{LONG}</a></ul></div>", LONG),
+        ("<p>One</p>", "One"),
+    ],
+)
+def test_article_text_survives_hints_forms_and_unclosed_parts(page, expected):
+    assert html_text.main_text(page, html_text.BlockTree.fit()) == expected
+
+
+def test_links_stay_open_over_blocks():
+    page = "<div><p>Before it</p><a href=/x><div>Read on here</div><div>And there</div></a><a name=top><p>After it</p><ul><li><a href=/y>Open</ul><p>End</p></div>"
+    assert [(b[0], b[2]) for b in html_text.text_blocks(page)] == [
+        ("Before it", 0), ("Read on here", 3), ("And there", 2), ("After it", 0), ("Open", 1), ("End", 0)
+    ]
+
+
+def test_block_features_equal_a_plain_listing():
+    blocks = [("a b", 2, 1, 0, 1), ("c", 1, 1, 2, 0), ("d e f g", 4, 0, 1, 1)]
+    assert html_text.block_features(blocks).tolist() == [
+        [2, 0.5, 0, 0, 1, 1, 0, 1], [1, 1, 2, 0.5, 4, 0, 2, 0], [4, 0, 1, 1, 0, 0, 1, 1]
+    ]
+    assert html_text.block_features([]).shape == (0, 8)
+
+
+def test_splits_equal_all_splits_tried():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        rows, labels = rng.integers(0, 6, (25, 3)).astype(float), rng.integers(0, 2, 25).astype(float)
+
+        def impurity(low):
+            return sum(len(x) * x.mean() * (1 - x.mean()) for x in (labels[low], labels[~low]))
+
+        tried = [
+            impurity(rows[:, f] < cut)
+            for f in range(3)
+            for cut in np.arange(0.5, 6)
+            if min((rows[:, f] < cut).sum(), (rows[:, f] >= cut).sum()) >= 3
+        ]
+        split = html_text.best_split(rows, labels, range(3), 3)
+        whole = 25 * labels.mean() * (1 - labels.mean())
+        if split is None:
+            assert min(tried) >= whole - 1e-9
+        else:
+            assert impurity(rows[:, split[0]] < split[1]) == pytest.approx(min(tried))
+
+
+def test_densities_are_asked_first_and_places_only_where_they_leave_both():
+    """Every block of the labelled table is told right; only leaves with both kinds ask for the place of a block."""
+    tree = html_text.BlockTree.fit()
+    wrong = alone = total = 0
+    for page in html_text.EXAMPLES:
+        blocks = html_text.text_blocks(page)
+        for block, row in zip(blocks, html_text.block_features(blocks)):
+            asked = [f >= html_text.DENSITIES for f in tree.asked(row)]
+            assert not asked[0]
+            wrong += (tree.share(row) >= 0.5) != block[0].startswith("T")
+            alone += not any(asked)
+            total += 1
+    assert wrong == 0 and alone > total / 10
+
+
 def test_language_spans(spark, docs):
     english, german = "the house and the garden of my friend ", "der hund und die katze von meinem freund "
     rows = [(i, english * 3, "en") for i in range(20)] + [(i + 20, german * 3, "de") for i in range(20)]
