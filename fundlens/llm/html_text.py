@@ -184,7 +184,7 @@ class BlockTree:
     both kinds mixed it asks what encloses the block as well.
     """
 
-    def __init__(self, rows: np.ndarray, labels: np.ndarray, depth: int = 3, least: int = 400, deeper: int = 6, few: int = 2):
+    def __init__(self, rows: np.ndarray, labels: np.ndarray, depth: int = 5, least: int = 300, deeper: int = 6, few: int = 2):
         self.depth, self.least, self.deeper, self.few = depth, least, deeper, few
         self.root = self._grow(rows, labels, depth, range(DENSITIES))
 
