@@ -4,12 +4,14 @@ from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks.jobs import refresh_inputs
 from checks.views import Views
-from fundlens import session
-from fundlens.plans import refresh
+from fundlens import refresh as command, session
+from fundlens.plans import graph, refresh
 from fundlens.sources import files, readers, writers
+from fundlens.sources.schemas import SCHEMAS
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -207,3 +209,94 @@ def test_project_refresh_publishes_both_tables(spark, tmp_path):
     assert summary.agg(F.sum("application_count")).first()[0] == lookup.count()
     again = refresh.refresh_projects(spark, v.past_grants, v.past_contributions, v.applications, root).collect()
     assert [r.status for r in again] == ["unchanged"]
+
+
+def test_a_stopped_refresh_goes_on_from_its_staged_tables(spark, tmp_path):
+    root = str(tmp_path / "published")
+    base_sources, others = refresh_inputs(Views(spark, SMALL))
+    broken = others | {"names": others["names"].select("address")}
+    with pytest.raises(Exception, match="name"):
+        refresh.refresh_all(spark, base_sources, broken, root, run="monday")
+    assert writers.current_manifest(spark, root) == []
+    half = refresh.Staging(spark, root, 1, {}, "monday")
+    assert {"rounds", "donations", "applications", "applications_payouts"} <= half.taken_over
+    assert "allo_gmv_leaderboard_events" not in half.taken_over
+    # Sources that cannot be read any more show that nothing staged is built again.
+    gone = {name: {"indexer": spark.range(1)} for name in half.taken_over & set(base_sources)}
+    refresh.refresh_all(spark, base_sources | gone, others, root, run="monday")
+    paths = {r["table"]: r["path"] for r in writers.current_manifest(spark, root)}
+    assert len(paths) == 10 and all(paths[name] == half.rows[name][2] for name in half.taken_over)
+    # The next version begins anew under the same name, and agrees with a run without one.
+    refresh.refresh_all(spark, base_sources, others, root, run="monday")
+    again = {r["table"]: (r["version"], r["row_count"], r["total"]) for r in writers.current_manifest(spark, root)}
+    refresh.refresh_all(spark, base_sources, others, root)
+    for row in writers.current_manifest(spark, root):
+        assert (row["row_count"], row["total"]) == again[row["table"]][1:] and again[row["table"]][0] == 2
+
+
+def test_jobs_run_at_once_and_in_order(spark):
+    together = Barrier(2, timeout=60)
+    order = []
+
+    def side(tables):
+        together.wait()  # passes only while both sides run
+        return spark.range(2)
+
+    jobs = {
+        "last": graph.Job(lambda t: t["a"].join(t["b"], "id"), ("a", "b")),
+        "a": graph.Job(side), "b": graph.Job(side),
+    }
+
+    def write(name, build):
+        frame = build()
+        order.append(name)
+        return frame
+
+    done = graph.run_jobs(spark, jobs, write, at_once=2)
+    assert order[2] == "last" and done["last"].count() == 2
+    assert graph.run_jobs(spark, {}, write) == {}
+    for wrong, message in [({"a": graph.Job(side, ("x",))}, "no job makes"), ({"a": graph.Job(side, ("a",))}, "each other")]:
+        with pytest.raises(ValueError, match=message):
+            graph.run_jobs(spark, wrong, write)
+
+
+def test_no_job_starts_after_a_failure(spark):
+    started = []
+
+    def write(name, build):
+        started.append(name)
+        return build()
+
+    def fail(tables):
+        raise OSError("no space")
+
+    jobs = {"a": graph.Job(fail)} | {f"b{i}": graph.Job(lambda t: spark.range(1), ("a",)) for i in range(3)}
+    with pytest.raises(OSError, match="no space"):
+        graph.run_jobs(spark, jobs, write, at_once=1)
+    assert started == ["a"]
+
+
+def test_the_command_publishes_landed_tables(spark, tmp_path, capsys, monkeypatch):
+    base_sources, others = refresh_inputs(Views(spark, SMALL))
+    inputs, root = tmp_path / "landed", str(tmp_path / "published")
+
+    def whole(name, frame):
+        """With the columns that the test views leave out."""
+        missing = [f for f in StructType.fromDDL(SCHEMAS[name]) if f.name not in frame.columns]
+        return frame.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+
+    for name, sources in base_sources.items():
+        for source, frame in sources.items():
+            whole(name, frame).write.parquet(f"{inputs}/{source}/{name}")
+    for name in set(command.OTHERS) - {"round_roles"}:
+        whole(name, others[name]).withColumn("unknown_column", F.lit(1)).write.parquet(f"{inputs}/others/{name}")
+    command.main(["--inputs", str(inputs), "--root", root, "--run", "one", "--keep", "1"])
+    lines = capsys.readouterr().out.splitlines()
+    assert any(line.startswith("donations\t") for line in lines)
+    by_hand = str(tmp_path / "by_hand")
+    refresh.refresh_all(spark, base_sources, others, by_hand)
+    expected = {r["table"]: (r["row_count"], r["total"]) for r in writers.current_manifest(spark, by_hand)}
+    assert {r["table"]: (r["row_count"], r["total"]) for r in writers.current_manifest(spark, root)} == expected
+    spark.range(1).write.mode("overwrite").parquet(f"{inputs}/others/names")
+    with pytest.raises(ValueError, match="lacks columns"):
+        command.landed_inputs(spark, str(inputs))
