@@ -106,15 +106,19 @@ class OrdinalModel:
 def grade_documents(docs: DataFrame, model: OrdinalModel, least_grade: int, least_tail: float = 0.5) -> DataFrame:
     """(doc_id, expected_grade, tail, selected): tail is P(grade >= least_grade), selected tells if it reaches the limit.
 
-    A null or empty text gets the grade of a text without words; ties of copies are equal by construction.
+    A null or empty text gets the grade of a text without words; copies get equal grades and repeated rows stay,
+    an empty table gives no rows, other columns are left out. A long text costs memory in proportion to its words.
+    The tail of a grade above all that the model has learnt is 0; a least grade below 1 is an error.
     """
+    if least_grade < 1:
+        raise ValueError("every text has at least grade 0: ask for 1 or more")
 
     def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [model.tails(texts[a:b]) for a, b in in_chunks(texts)] or [np.zeros((0, len(model.thresholds)))]
             tails = np.vstack(found)
-            tail = tails[:, least_grade - 1]
+            tail = tails[:, least_grade - 1] if least_grade <= tails.shape[1] else np.zeros(len(tails))
             columns = [batch.column(0), pa.array(tails.sum(1)), pa.array(tail), pa.array(tail >= least_tail)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "expected_grade", "tail", "selected"])
 

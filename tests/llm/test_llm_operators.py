@@ -406,6 +406,53 @@ def test_language_model_counts_and_base(docs):
     assert next(r for r in got if r.doc_id == 3).score > next(r for r in got if r.doc_id == 3).base_score
 
 
+def test_grades_beyond_the_model_and_below_one(spark, docs):
+    model = grades.OrdinalModel(np.zeros((1 << grades.BITS) + 2), np.zeros(1))
+    got = grades.grade_documents(docs, model, 2).collect()
+    assert len(got) == len(ROWS) and all(r.tail == 0 and not r.selected and r.expected_grade == 0.5 for r in got)
+    with pytest.raises(ValueError, match="at least grade 0"):
+        grades.grade_documents(docs, model, 0)
+
+
+def test_learnt_grades_are_the_most_likely_ones(spark):
+    """The penalised likelihood, summed text by text, falls when a threshold or a weight is moved."""
+    rng = np.random.default_rng(3)
+    words = [["bad", "poor", "dull"], ["fair", "plain", "usual"], ["fine", "great", "rich"]]
+    rows = []
+    for i in range(600):
+        # Few different texts whose grades differ, so that the most likely weights are finite.
+        kinds, grade = [i % 3, rng.integers(3)], i % 3 if rng.random() < 0.6 else rng.integers(3)
+        rows.append((" ".join(words[k][rng.integers(3)] for k in kinds), int(grade)))
+    model = grades.OrdinalModel.fit(spark.createDataFrame(rows, "text string, grade int"))
+
+    def loss(weights, thresholds):
+        tails = grades.OrdinalModel(weights, thresholds).tails([text for text, _ in rows])
+        total = 0.0
+        for (_, grade), tail in zip(rows, tails):
+            total -= sum(np.log(t if grade > j else 1 - t) for j, t in enumerate(tail))
+        return total / len(rows) + grades.PENALTY / 2 * (weights**2).sum()
+
+    best = loss(model.weights, model.thresholds)
+    assert best < loss(np.zeros_like(model.weights), model.thresholds) and model.thresholds[0] < model.thresholds[1]
+    for j in range(2):
+        for step in (-0.4, 0.4):
+            assert loss(model.weights, model.thresholds + step * (np.arange(2) == j)) > best
+    for bucket in np.argsort(-abs(model.weights))[:5]:
+        for step in (-0.5, 0.5):
+            assert loss(model.weights + step * (np.arange(len(model.weights)) == bucket), model.thresholds) > best
+
+
+def test_whole_licence_texts_in_other_layouts_are_found_without_a_shuffle_of_lines(spark):
+    texts = [(i, name, text) for i, (name, text) in enumerate(licences.KNOWN) if "\n" in text]
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "BSL-1.0", "MIT", "ISC", "0BSD"} <= {name for _, name, _ in texts}
+    changed = [(i, "Copyright (c) 2020 Someone\n" + re.sub(r"(?<=,) ", "\n  * ", text.upper().replace("LICENSE", "LICENCE"))) for i, _, text in texts]
+    near = [(100 + i, text + "\nexcept on Sundays") for i, _, text in texts]
+    found = licences.licence_matches(spark.createDataFrame(changed + near, "doc_id long, text string"))
+    assert {(r.doc_id, r.licence) for r in found.where("line_no = 0").collect()} == {(i, name) for i, name, _ in texts}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_ordinal_grades(spark, docs):
     rows = [(f"bad awful w{i}", 0) for i in range(30)] + [(f"so so w{i}", 1) for i in range(30)] + [(f"good fine w{i}", 2) for i in range(30)]
     model = grades.OrdinalModel.fit(spark.createDataFrame(rows, "text string, grade int"))
