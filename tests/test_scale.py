@@ -1,8 +1,15 @@
 """What is shuffled, grouped and sent to the driver stays narrow."""
 
+from datetime import datetime
+from decimal import Decimal
+
 import pytest
+from pyspark.sql import functions as F
 
 from checks.views import VIEWS, Views
+from fundlens import constants as K
+from fundlens.operators import groups
+from fundlens.plans import donations, projects
 
 
 def tables(spark, root, **frames):
@@ -34,3 +41,62 @@ def test_applications_are_distinct_over_keys_not_texts(item_views):
     narrow = got._jdf.queryExecution().optimizedPlan().toString()
     grouped = [line for line in narrow.split("\n") if "Aggregate [l_partkey" in line]
     assert grouped and all(line.count("#") == 4 for line in grouped)
+
+
+def test_group_totals_do_not_pass_the_driver(spark):
+    df = spark.range(2_000).select((F.col("id") % 7).alias("k"), "id")
+    got = groups.with_group_totals(df, ["k"], {"n": F.count(F.lit(1))})
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_profiles_are_parsed_and_normalized_once(rows):
+    text = '{"application":{"recipient":"0x%s","project":{"title":"%s"}}}'
+    apps = rows(
+        [("a", 1, 1.0, text % ("A" * 40, " Big,  One! ")), ("b", 1, 1.0, text % ("A" * 39, "x")), ("c", 1, 1.0, text % ("b" * 40, "!")), ("d", 1, 1.0, None)],
+        "project_id string, chain_id int, total_amount_donated_in_usd double, metadata string",
+    )
+    past = apps.select("project_id", F.lit(None).cast("string").alias("title")).where("false")
+    got = projects.normalize_projects(past, projects.indexed_profiles(apps))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("p{N}") == 1
+    assert [(r.project_id, r.title, r.payout_address) for r in got.collect()] == [("a", "big one", "0x" + "a" * 40)]
+
+
+def test_tuples_collapse_without_a_sort_of_all_rows(rows, monkeypatch):
+    numbered = rows([(1, "a", "b", None), (2, "a", "b", None), (3, "a", "b", ""), (4, "a", None, None)], "row_id long, x string, y string, z string")
+    plans = []
+    cut = projects.cut_lineage
+    monkeypatch.setattr(projects, "cut_lineage", lambda df, tag: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, tag))
+    got = projects.tuple_components(numbered, ["x", "y", "z"], 2)
+    assert "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_historical_donations_are_distinct_before_their_texts(rows):
+    day = datetime(2020, 1, 2)
+    given = rows(
+        [("V1", 1, day, Decimal(5), "card"), ("v1", 1, day, Decimal(5), "cash"), ("v1", 2, day, Decimal(5), None), ("v1", None, None, None, None)],
+        "voter_address string, grant_id long, created_on timestamp, amountUSD decimal(18,2), checkout_type string",
+    )
+    timings = rows([(7, datetime(2020, 1, 1), datetime(2020, 1, 9))], "round_num int, start_date timestamp, end_date timestamp")
+    grants = rows([(1, "n", "0x1"), (1, "n", "0x1"), (1, "m", None)], "grantid long, name string, payoutaddress string")
+    alpha = rows([("t", "r", Decimal(1), day, None)] * 2, "title string, round_name string, usd_amount decimal(18,2), block_time timestamp, donor string")
+    places = rows([("t", "0x9"), ("t", "0x9"), ("t", "0x8")], "title string, address string")
+    got = donations.historical_donations(alpha, places, given, timings, grants)
+    short = lambda r: (r.round_num, r.round_name, r.donor_address, r.recipient_address, r.project_name, r.project_id, r.round_id, r.source)
+    name = K.CONTRIBUTION_ROUND_PREFIX
+    base = str(K.CONTRIBUTION_ROUND_ID_BASE + 7)
+    cgrants, old = K.CONTRIBUTION_SOURCE, K.ALPHA_SOURCE
+    assert sorted(map(short, got.collect()), key=str) == sorted(
+        [
+            (7, name + "7", "v1", "0x1", "n", "1", base, cgrants), (7, name + "7", "v1", None, "m", "1", base, cgrants),
+            (7, name + "7", "v1", None, None, "2", base, cgrants), (None, name, "v1", None, None, None, None, cgrants),
+            (16, "r", "0", "0x9", "t", "unknown", "", old), (16, "r", "0", "0x8", "t", "unknown", "", old),
+        ],
+        key=str,
+    )
+    grouped = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in line]
+    # Payout details are grouped by themselves, never in the rows of the contributions.
+    assert not any("payoutaddress" in line and "amount" in line for line in grouped)
