@@ -68,9 +68,9 @@ def normalize_projects(historical: DataFrame, indexed: DataFrame, blank_is_value
     ``blank_is_value=True`` to let blank values match each other.
     """
     both = concat_profiles(historical, indexed)
-    both = valid_addresses(both.withColumn("payout_address", F.lower("payout_address")), "payout_address")
     clean = both.withColumns(
         {
+            "payout_address": F.lower("payout_address"),
             "title": normalize_title(F.col("title")),
             "project_twitter": F.lower("project_twitter"),
             "project_github": repo_owner(F.col("project_github")),
@@ -79,7 +79,10 @@ def normalize_projects(historical: DataFrame, indexed: DataFrame, blank_is_value
     if not blank_is_value:
         blanks = ["website", "project_twitter", "project_github"]
         clean = clean.withColumns({c: none_if_blank(F.col(c)) for c in blanks})
-    return require_title(clean)
+    # Behind a generator the filters stay where they are; pushed to the sources, each of them would parse
+    # the documents and normalize the titles once more.
+    made = clean.select(F.inline_outer(F.array(F.struct(*clean.columns))))
+    return require_title(valid_addresses(made, "payout_address"))
 
 
 def assign_group_ids(components: DataFrame) -> DataFrame:
@@ -109,8 +112,9 @@ def tuple_components(numbered: DataFrame, attributes: list[str], k: int) -> Data
     """
     known = sum((F.col(a).isNotNull().cast("int") for a in attributes), F.lit(0))
     keyed = numbered.select("row_id", *attributes, F.when(known >= k, _tuple_key(attributes)).alias("_tuple"))
-    firsts = [F.first(a).alias(a) for a in attributes]
-    tuples = keyed.where(F.col("_tuple").isNotNull()).groupBy("_tuple").agg(F.min("row_id").alias("row_id"), *firsts)
+    # The attributes are keys beside their digest, which makes no other groups: as aggregates of
+    # texts they would have every row sorted before the first copies collapse.
+    tuples = keyed.where(F.col("_tuple").isNotNull()).groupBy("_tuple", *attributes).agg(F.min("row_id").alias("row_id"))
     # Read again for links and nodes: distinct tuples, mostly far fewer than rows.
     tuples = cut_lineage(tuples, "tuples")
     found = connected_components(k_of_n_links(tuples, attributes, k), tuples)
