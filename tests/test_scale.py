@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from checks.views import VIEWS, Views
 from fundlens import constants as K
 from fundlens.operators import groups
-from fundlens.plans import donations, projects
+from fundlens.plans import donations, gmv, projects
+from fundlens.sources import schemas
 
 
 def tables(spark, root, **frames):
@@ -100,3 +101,16 @@ def test_historical_donations_are_distinct_before_their_texts(rows):
     grouped = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in line]
     # Payout details are grouped by themselves, never in the rows of the contributions.
     assert not any("payoutaddress" in line and "amount" in line for line in grouped)
+
+
+def test_frames_that_events_read_twice_are_built_once(rows):
+    empty = lambda ddl: rows([], ddl)
+    got = gmv.gmv_events(
+        empty(schemas.DONATIONS), empty(schemas.ROUNDS), empty(schemas.APPLICATIONS), empty(schemas.APPLICATIONS_PAYOUTS),
+        empty(schemas.ROUND_ROLES), empty(schemas.MACI_CONTRIBUTIONS), empty(schemas.MACI_ROUNDS), empty(schemas.ROUND_ROLES),
+        empty(schemas.EXTERNAL_EVENTS), empty("address STRING, name STRING"),
+    )
+    sources = [line for line in got._jdf.queryExecution().analyzed().toString().split("\n") if "LogicalRDD" in line or "LocalRelation" in line]
+    # Donations once more for the grantees; payouts, and through them applications, not at all.
+    assert sum("donor_address#" in line for line in sources) == 1
+    assert not any("distribution_transaction#" in line for line in sources)
