@@ -149,7 +149,14 @@ def prefix_needs(n: int, percent: int) -> tuple[int, int]:
     return min(n, n - least + extra(n)), extra(least)
 
 
-def _able_texts(rows: DataFrame) -> DataFrame:
+def _last_read(made: Step, *read: Step) -> Step:
+    """``made``, and the steps that were read for the last time to write it go: tokens are most of what the disk holds."""
+    for step in read:
+        step.remove()
+    return made
+
+
+def _able_texts(rows: DataFrame) -> Step:
     """(text_hash) of one text of each set that the prefix filter leaves; other texts may share the hash.
 
     Hot tokens stay small: a batch sends each token at most twice.
@@ -161,8 +168,9 @@ def _able_texts(rows: DataFrame) -> DataFrame:
     found = spread.where("counts = 1 and _a != _b").select("digest", F.lit(None).cast("int").alias("least"), F.col("counts").alias("found"))
     found = found.unionByName(rows.where("least is not null").select("digest", "least", "found"))
     sums = found.groupBy("digest").agg(F.max("least").alias("least"), F.sum("found").alias("found"))
-    able = cut_lineage(sums.where("found >= least").select("digest"), "shared")
-    return rows.join(able, "digest", "left_semi").groupBy("digest").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct()
+    able = Step(sums.where("found >= least").select("digest"), "shared")
+    texts = rows.join(able.frame, "digest", "left_semi").groupBy("digest").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct()
+    return _last_read(Step(texts, "texts"), able)
 
 
 def _linked(tokens: str, n: str, other: str, other_n: str, percent: int) -> Column:
@@ -192,24 +200,24 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     heads = Step(document_heads(docs, width, percent), "heads")
     rows = cut_lineage(heads.frame.select("doc_id", "n_shingles", "digest"), "rows")
     # Whole sets only of texts that may have a link; the list of hashes is small beside the texts.
-    texts = cut_lineage(_able_texts(heads.frame), "texts")
-    heads.remove()
-    able = only(docs, "doc_id", "text").where(F.col("text").isNotNull()).join(texts, F.xxhash64(F.col("text").cast("string")) == texts["text_hash"], "left_semi")
-    nodes = Step(document_sets(able, width).withColumnRenamed("digest", "node"), "nodes")
-    sets = cut_lineage(_shared_tokens(nodes.frame, percent), "able")
-    nodes.remove()
-
-    first = cut_lineage(_stars(sets, F.array_min("tokens"), percent), "stars")
-    rest = sets.join(first, "node", "left_anti")
+    texts = _last_read(_able_texts(heads.frame), heads)
+    same_text = F.xxhash64(F.col("text").cast("string")) == texts.frame["text_hash"]
+    able = only(docs, "doc_id", "text").where(F.col("text").isNotNull()).join(texts.frame, same_text, "left_semi")
+    nodes = _last_read(Step(document_sets(able, width).withColumnRenamed("digest", "node"), "nodes"), texts)
+    sets = _last_read(_shared_tokens(nodes.frame, percent), nodes)
+
+    first = Step(_stars(sets.frame, F.array_min("tokens"), percent), "stars")
+    rest = sets.frame.join(first.frame, "node", "left_anti")
     second = _stars(rest, F.array_max("tokens"), percent)
-    members = sets.join(first.unionByName(second), "node", "left").select("node", "n", "tokens", F.coalesce("leader", "node").alias("star"))
-    members = cut_lineage(members, "members")
-    edges = members.where("node != star").select(F.col("node").alias("src"), F.col("star").alias("dst"))
+    members = sets.frame.join(first.frame.unionByName(second), "node", "left").select("node", "n", "tokens", F.coalesce("leader", "node").alias("star"))
+    members = _last_read(Step(members, "members"), sets, first)
+    edges = members.frame.where("node != star").select(F.col("node").alias("src"), F.col("star").alias("dst"))
+    edges = cut_lineage(edges, "edges")
 
     # Components of stars: at first each star alone.
-    placed, links, go_on, turn = members.withColumn("component", F.col("star")), None, True, 0
+    read, placed, links, go_on, turn = [members], members.frame.withColumn("component", F.col("star")), None, True, 0
     while go_on:
-        across = Step(_across(placed, percent, turn), "across", sets=F.count(F.lit(1)))
+        across = _last_read(_across(placed, percent, turn), *read)
         asked = _drawn_sets(across.frame, percent)
         if links is not None:
             asked = asked.join(links.select("node", "other"), ["node", "other"], "left_anti")
@@ -217,29 +225,30 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         links = answers.frame if links is None else links.unionByName(answers.frame)
         go_on, turn = answers.seen["links"] * ASKING_PER_LINK > across.seen["sets"], turn + 1
         # Components only grow, so what lies within one now will not lie across again.
-        placed = across.frame.select("node", "n", "tokens", "star", "component")
+        read, placed = [across], across.frame.select("node", "n", "tokens", "star", "component")
         if answers.seen["links"]:
             label = _star_components(links.where("linked"))
             placed = placed.drop("component").join(label, "star", "left").withColumn("component", F.coalesce("component", "star"))
-            placed = cut_lineage(placed, "placed")
+            read = [_last_read(Step(placed, "placed"), across)]
+            placed = read[0].frame
     edges = edges.unionByName(links.where("linked").select(F.col("node").alias("src"), F.col("other").alias("dst")))
-    left = Step(_across(placed, percent, turn), "left", sets=F.count(F.lit(1)))
+    left = _last_read(_across(placed, percent, turn), *read)
     if left.seen["sets"]:
         edges = edges.unionByName(_opened(left.frame, percent))
     return _labels(rows, edges)
 
 
-def _shared_tokens(sets: DataFrame, percent: int) -> DataFrame:
+def _shared_tokens(sets: DataFrame, percent: int) -> Step:
     """Sets of which ``percent`` of the tokens are in another set too, with those tokens alone."""
     flat = sets.select("node", F.explode("tokens").alias("token"))
     # Written, so that the join meets two plain shuffles and a hot token is split.
-    shared = cut_lineage(flat.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token"), "spread")
-    held = flat.join(shared, "token").groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    shared = Step(flat.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token"), "spread")
+    held = flat.join(shared.frame, "token").groupBy("node").agg(F.collect_list("token").alias("tokens"))
     kept = held.join(sets.select("node", "n"), "node").where(F.size("tokens") >= least_overlap(F.col("n"), percent))
-    return kept.select("node", "n", "tokens")
+    return _last_read(Step(kept.select("node", "n", "tokens"), "able"), shared)
 
 
-def _across(sets: DataFrame, percent: int, turn: int) -> DataFrame:
+def _across(sets: DataFrame, percent: int, turn: int) -> Step:
     """Sets of which ``percent`` of the tokens lie in other components too, with those tokens, rarest first.
 
     ``others`` holds for each of them up to two sets with that token that are not of the
@@ -255,14 +264,15 @@ def _across(sets: DataFrame, percent: int, turn: int) -> DataFrame:
         F.max_by("node", drawn).alias("high"), F.max_by("component", drawn).alias("high_component"),
     )
     # Written, so that the join meets two plain shuffles and a hot token is split.
-    spread = cut_lineage(spread.where("_a != _b").drop("_a", "_b"), "spread")
+    spread = Step(spread.where("_a != _b").drop("_a", "_b"), "spread")
     others = [F.when(F.col(f"{x}_component") != F.col("component"), F.col(x)).alias(x) for x in ("low", "high")]
-    found = flat.select("node", "component", "token").join(spread, "token").select("node", F.struct("sets", "token", *others).alias("held"))
+    found = flat.select("node", "component", "token").join(spread.frame, "token").select("node", F.struct("sets", "token", *others).alias("held"))
     ranked = found.groupBy("node").agg(F.sort_array(F.collect_list("held")).alias("held"))
     kept = ranked.join(sets.drop("tokens"), "node").where(F.size("held") >= least_overlap(F.col("n"), percent))
     part = lambda name: F.transform("held", lambda h: h[name])
     others = F.flatten(F.array(*[F.slice(part(x), F.lit(1), _probes(F.size("held"), percent)) for x in ("low", "high")]))
-    return kept.withColumns({"tokens": part("token"), "others": F.filter(others, lambda x: x.isNotNull())}).drop("held")
+    across = kept.withColumns({"tokens": part("token"), "others": F.filter(others, lambda x: x.isNotNull())}).drop("held")
+    return _last_read(Step(across, "across", sets=F.count(F.lit(1))), spread)
 
 
 def _probes(held: Column, percent: int) -> Column:

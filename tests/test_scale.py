@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.views import VIEWS, Views
-from fundlens import constants as K
+from fundlens import constants as K, session
+from fundlens.llm import jaccard
 from fundlens.operators import groups
 from fundlens.plans import donations, gmv, projects
 from fundlens.sources import schemas
@@ -114,3 +115,14 @@ def test_frames_that_events_read_twice_are_built_once(rows):
     # Donations once more for the grantees; payouts, and through them applications, not at all.
     assert sum("donor_address#" in line for line in sources) == 1
     assert not any("distribution_transaction#" in line for line in sources)
+
+
+def test_token_steps_go_with_their_last_reader(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:40]), " ".join(words[:39]), " ".join(words[1:41]), " ".join(words[20:]), "alone", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.similar_components(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5}
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "fundlens").iterdir()}
+    assert "rows" in left and not left & {"heads", "shared", "texts", "nodes", "spread", "able", "stars", "members"}
