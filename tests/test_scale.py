@@ -126,3 +126,26 @@ def test_token_steps_go_with_their_last_reader(spark, tmp_path, monkeypatch):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5}
     left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "fundlens").iterdir()}
     assert "rows" in left and not left & {"heads", "shared", "texts", "nodes", "spread", "able", "stars", "members"}
+
+
+def test_grants_on_test_chains_go_before_the_join(spark, rows, tmp_path):
+    """Also where the chain is derived: Spark then infers no filter of the grants from that of the donations."""
+    chain = F.when(F.col("net") == "main", 1).when(F.col("net") == "test", K.TEST_CHAIN_ID).alias("chain_id")
+    text = '{"application":{"recipient":"0xa","project":{"title":"T"}}}'
+    rows([("1", net, "r", "p", text) for net in ("main", "test", None)], "id string, net string, round_id string, project_id string, metadata string").write.parquet(f"{tmp_path}/apps")
+    apps = spark.read.parquet(f"{tmp_path}/apps").select("id", chain, "round_id", "project_id", "metadata")
+    at = datetime(2024, 2, 1)
+    given = rows(
+        [("1", "r", net, "d", Decimal("1.00"), at) for net in ("main", "test", None)],
+        "application_id string, round_id string, net string, donor_address string, amount_in_usd decimal(18,2), timestamp timestamp",
+    ).select("application_id", "round_id", chain, "donor_address", "amount_in_usd", "timestamp")
+    rounds = rows([("r", 1, '{"name":"R"}')], "id string, chain_id int, round_metadata string")
+    registry = rows([(1, "R", "3")], "chain_id int, round_id string, round_number string")
+    past = rows([], "round_num int, round_name string, donor_address string, amount_in_usd decimal(18,2), recipient_address string, timestamp timestamp, "
+                "project_name string, project_id string, round_id string, chain_id int, source string")
+    got = donations.all_donations(given, apps, rounds, registry, past)
+    assert [(r.round_num, r.round_name, r.project_name, r.chain_id) for r in got.collect()] == [(3, "R", "T", 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    (scan,) = [n for n, line in enumerate(plan) if "Relation" in line and "metadata" in line]
+    # The test of the chain itself, which Spark folds into the cases, beside the one that it is known.
+    assert "Filter (NOT CASE WHEN (net" in plan[scan - 1]
