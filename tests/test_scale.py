@@ -10,7 +10,7 @@ from checks.views import VIEWS, Views
 from fundlens import constants as K, session
 from fundlens.llm import jaccard
 from fundlens.operators import groups
-from fundlens.plans import donations, gmv, projects
+from fundlens.plans import donations, gmv, projects, refresh
 from fundlens.sources import schemas
 
 
@@ -149,3 +149,10 @@ def test_grants_on_test_chains_go_before_the_join(spark, rows, tmp_path):
     (scan,) = [n for n, line in enumerate(plan) if "Relation" in line and "metadata" in line]
     # The test of the chain itself, which Spark folds into the cases, beside the one that it is known.
     assert "Filter (NOT CASE WHEN (net" in plan[scan - 1]
+
+
+def test_published_tables_are_compressed(spark, tmp_path):
+    (row,) = refresh.publish(spark, {"t": spark.range(10)}, str(tmp_path), 1, {"t": "id"})
+    files = list((tmp_path / "version=1").rglob("*.parquet"))
+    assert any(f.name.endswith(".zstd.parquet") for f in files)
+    assert row[3:] == (10, "45.00000000") and spark.read.parquet(row[2]).count() == 10
