@@ -117,6 +117,37 @@ def test_frames_that_events_read_twice_are_built_once(rows):
     assert not any("distribution_transaction#" in line for line in sources)
 
 
+@pytest.fixture
+def paid(rows):
+    """Direct payouts with their applications: a copy, a missing key, an unknown round, a chain apart, amounts to drop."""
+    at = datetime(2024, 2, 1)
+    text = '{"application":{"recipient":"0xa","project":{"title":"%s"}}}'
+    stages = rows([("r", 1, '{"name":"R"}', "s", "x", None, None, None)], "id string, chain_id int, round_metadata string, strategy_id string, "
+                  "strategy_name string, matching_distribution string, match_amount_in_usd decimal(18,2), donations_end_time timestamp")
+    apps = rows([("1", c, "r", "tx", text % t) for c, t in ((1, "T"), (1, "U"), (None, "N"))],
+                "id string, chain_id int, round_id string, distribution_transaction string, metadata string")
+    payouts = rows(
+        [("1", "r", 1, Decimal("1.25"), at, "a"), ("1", "r", 10, Decimal("2.00"), at, "b"), ("1", "r", None, Decimal("3.00"), at, "c"),
+         (None, "r", 1, Decimal("4.00"), at, "d"), ("1", "q", 1, Decimal("5.00"), at, "e"), ("1", "r", 1, Decimal("0.00"), at, "f"), ("1", "r", 1, None, at, "g")],
+        "application_id string, round_id string, chain_id int, amount_in_usd decimal(18,2), timestamp timestamp, transaction_hash string",
+    )
+    return gmv.distribution_base(stages, apps, payouts)
+
+
+def test_payouts_are_shuffled_as_narrow_as_they_are_read(paid):
+    assert paid.schema["amount_in_usd"].dataType.simpleString() == gmv.AMOUNT
+    got = sorted((r.transaction_hash, r.project_name or "", r.round_name or "", str(r.amount_in_usd)) for r in paid.collect())
+    wide = lambda n: f"{n}000000"
+    assert got == [
+        ("a", "T", "R", wide("1.25")), ("a", "U", "R", wide("1.25")), ("b", "", "", wide("2.00")), ("c", "", "", wide("3.00")),
+        ("d", "", "R", wide("4.00")), ("e", "", "", wide("5.00")),
+    ]
+    plan = paid._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    casts = [n for n, line in enumerate(plan) if "cast(amount_in_usd" in line]
+    joins = [n for n, line in enumerate(plan) if "Join" in line and "application_id" in line]
+    assert casts and joins and max(casts) < max(joins)
+
+
 def test_token_steps_go_with_their_last_reader(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
     words = [f"w{i}" for i in range(60)]
