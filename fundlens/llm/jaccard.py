@@ -26,9 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fundlens.llm.common import in_chunks, mix, only, releasing, window_hashes, word_hashes
+from fundlens.llm.common import in_chunks, mix, releasing, window_hashes, word_hashes
 from fundlens.operators.linking import connected_components
-from fundlens.session import Step, cut_lineage
+from fundlens.session import Step, cut_lineage, shuffles_cleaned
 
 # Bits of a token: below 2^63, so that it is the same number in every language.
 KEY_BITS = 56
@@ -41,6 +41,10 @@ ASKING_PER_LINK = 20
 # Sets that a set asks in one turn, and sets of a group whose union is stored; they change the work, never the result.
 ASKED_PER_TURN = 4
 GROUP_SETS = 32
+# Bits per text of the filter in front of the exact join of texts, and most bits of it (8 MB, as of Spark's own
+# filters): with more texts than that holds, more rows are shuffled for the join and none is lost.
+FILTER_BITS_PER_TEXT = 16
+MOST_FILTER_BITS = 2**26
 
 
 def shingle_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -170,7 +174,26 @@ def _able_texts(rows: DataFrame) -> Step:
     sums = found.groupBy("digest").agg(F.max("least").alias("least"), F.sum("found").alias("found"))
     able = Step(sums.where("found >= least").select("digest"), "shared")
     texts = rows.join(able.frame, "digest", "left_semi").groupBy("digest").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct()
-    return _last_read(Step(texts, "texts"), able)
+    return _last_read(Step(texts, "texts", texts=F.count(F.lit(1))), able)
+
+
+def _texts_of(docs: DataFrame, texts: Step) -> DataFrame:
+    """(doc_id, text) of the rows whose text has one of the hashes.
+
+    The list of hashes grows with the table, so it is joined by a shuffle. A bitmap of
+    bounded size goes to the rows before that, and keeps most other texts out of it.
+    """
+    bits = min(MOST_FILTER_BITS, 2 ** (FILTER_BITS_PER_TEXT * texts.seen["texts"]).bit_length())
+    place = lambda value: F.pmod(value, F.lit(bits)) + 1
+    held = texts.frame.select(place(F.col("text_hash")).alias("_place"))
+    held = held.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    rows = _narrow(docs).where(F.col("text").isNotNull()).withColumn("_place", place(F.col("text_hash")))
+    near = rows.join(F.broadcast(held), F.bitmap_bucket_number("_place") == F.col("_bucket"))
+    bit = F.bitmap_bit_position("_place").cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    near = near.where(F.getbit(byte, bit % 8) == 1).select("doc_id", "text", "text_hash")
+    # Hashes are distinct. Not a semi join, which Spark would move in front of the bitmap.
+    return near.join(texts.frame, "text_hash").select("doc_id", "text")
 
 
 def _linked(tokens: str, n: str, other: str, other_n: str, percent: int) -> Column:
@@ -197,13 +220,16 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     rows that share an id and differ are rows of their own. An empty table gives no
     row. A very long text needs some 60 bytes of its task per byte.
     """
+    with shuffles_cleaned(docs.sparkSession):
+        return _similar_components(docs, width, percent)
+
+
+def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     heads = Step(document_heads(docs, width, percent), "heads")
     rows = cut_lineage(heads.frame.select("doc_id", "n_shingles", "digest"), "rows")
-    # Whole sets only of texts that may have a link; the list of hashes is small beside the texts.
+    # Whole sets only of texts that may have a link.
     texts = _last_read(_able_texts(heads.frame), heads)
-    same_text = F.xxhash64(F.col("text").cast("string")) == texts.frame["text_hash"]
-    able = only(docs, "doc_id", "text").where(F.col("text").isNotNull()).join(texts.frame, same_text, "left_semi")
-    nodes = _last_read(Step(document_sets(able, width).withColumnRenamed("digest", "node"), "nodes"), texts)
+    nodes = _last_read(Step(document_sets(_texts_of(docs, texts), width).withColumnRenamed("digest", "node"), "nodes"), texts)
     sets = _last_read(_shared_tokens(nodes.frame, percent), nodes)
 
     first = Step(_stars(sets.frame, F.array_min("tokens"), percent), "stars")

@@ -159,6 +159,44 @@ def test_token_steps_go_with_their_last_reader(spark, tmp_path, monkeypatch):
     assert "rows" in left and not left & {"heads", "shared", "texts", "nodes", "spread", "able", "stars", "members"}
 
 
+def test_texts_without_links_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """However long the list of hashes is; a bitmap that is too small lets more rows pass and loses none."""
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, F.concat(F.lit("text "), F.col("id"))).alias("text"))
+    docs = docs.unionByName(docs.where("doc_id = 50"))
+    hashes = docs.where("doc_id % 50 = 0 and text is not null").select(F.xxhash64("text").alias("text_hash")).distinct()
+    texts = session.Step(hashes, "texts", texts=F.count(F.lit(1)))
+    wanted = sorted([50, *range(50, 5_000, 50)])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard._texts_of(docs, texts)
+        assert sorted(r.doc_id for r in found.collect()) == wanted
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[1]
+        # Deeper lines are read first: the bitmap is met before the rows are shuffled.
+        assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(text_hash") < plan.index("BroadcastHashJoin")
+        for bits in (1, 2, 64, 2**16):
+            monkeypatch.setattr(jaccard, "MOST_FILTER_BITS", bits)
+            assert sorted(r.doc_id for r in jaccard._texts_of(docs, texts).collect()) == wanted
+        none = session.Step(hashes.limit(0), "texts", texts=F.count(F.lit(1)))
+        assert jaccard._texts_of(docs, none).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_shuffles_of_steps_go_with_their_write(spark, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(key), []
+    search = jaccard._similar_components
+    monkeypatch.setattr(jaccard, "_similar_components", lambda *args: seen.append(spark.conf.get(key)) or search(*args))
+    docs = spark.createDataFrame([(2, "a b c d e f"), (1, "A b c d e f"), (3, None)], "doc_id long, text string")
+    assert {tuple(r) for r in jaccard.similar_components(docs).collect()} == {(1, 2, 1), (2, 2, 1), (3, 0, 3)}
+    assert seen == ["true"] and spark.conf.get(key) == before
+    with pytest.raises(ValueError), session.shuffles_cleaned(spark):
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
 def test_grants_on_test_chains_go_before_the_join(spark, rows, tmp_path):
     """Also where the chain is derived: Spark then infers no filter of the grants from that of the donations."""
     chain = F.when(F.col("net") == "main", 1).when(F.col("net") == "test", K.TEST_CHAIN_ID).alias("chain_id")
