@@ -225,3 +225,50 @@ def test_published_tables_are_compressed(spark, tmp_path):
     files = list((tmp_path / "version=1").rglob("*.parquet"))
     assert any(f.name.endswith(".zstd.parquet") for f in files)
     assert row[3:] == (10, "45.00000000") and spark.read.parquet(row[2]).count() == 10
+
+
+def test_events_wait_for_few_shuffles(rows, spark):
+    """Frames that are read again, and finished parts but the donors', are written; each write's shuffles go with it."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    empty = lambda ddl: rows([], ddl)
+    before, seen = spark.conf.get(key), {}
+
+    def stage(df, name):
+        seen[name] = spark.conf.get(key), df._jdf.queryExecution().analyzed().toString()
+        return session.cut_lineage(df, name)
+
+    got = gmv.gmv_events(
+        empty(schemas.DONATIONS), empty(schemas.ROUNDS), empty(schemas.APPLICATIONS), empty(schemas.APPLICATIONS_PAYOUTS),
+        empty(schemas.ROUND_ROLES), empty(schemas.MACI_CONTRIBUTIONS), empty(schemas.MACI_ROUNDS), empty(schemas.ROUND_ROLES),
+        empty(schemas.EXTERNAL_EVENTS), empty("address STRING, name STRING"), stage,
+    )
+    assert {on for on, _ in seen.values()} == {"true"} and spark.conf.get(key) == before
+    assert {"gmv_donated", "gmv_distributed", "gmv_events_of_grantees", "gmv_events_of_others"} <= set(seen)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    # Donors are summed here; the totals that are shared out, except the voice credits, were summed before.
+    assert plan.count("sum(amount_in_usd") == 1 and "sum(total" not in plan
+    # Payouts on test chains go before they are joined.
+    paid = seen["gmv_distributions"][1].split("\n")
+    (read,) = [n for n, line in enumerate(paid) if "LogicalRDD" in line and "amount_in_usd#" in line and "transaction_hash#" in line]
+    assert str(K.TEST_CHAIN_ID) in paid[read - 1]
+
+
+def test_names_meet_parties_while_they_are_narrow(rows):
+    at = datetime(2024, 2, 1)
+    parties = rows(
+        [(1, "r", "t", at, "a", Decimal("5.00")), (1, "r", "t", at, "b", Decimal("0.10")), (1, "q", "t", at, "c", Decimal("7.00")),
+         (1, "r", "t", at, None, Decimal("9.00")), (None, "r", "t", at, "a", Decimal("9.00"))],
+        "chain_id int, round_id string, tx_hash string, tx_timestamp timestamp, address string, total decimal(28,2)",
+    )
+    labelled = rows([(1, "r", "s", "pool")], "chain_id int, round_id string, strategy_name string, pool_name string")
+    names = rows([("a", "one"), ("a", "uno")], "address string, name string")
+    chains = rows([(1, "ethereum")], "chain_id int, chain_name string")
+    got = gmv._party_events(parties, "donor", labelled, names, chains)
+    assert got.columns == gmv.EVENT_COLUMNS
+    assert sorted((r.address, r.name or "", r.pool_name or "", r.blockchain, r.gmv) for r in got.collect()) == [
+        ("a", "one", "pool", "ethereum", 5.0), ("a", "uno", "pool", "ethereum", 5.0), ("c", "", "", "ethereum", 7.0),
+    ]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [line for line in plan if "Join LeftOuter" in line]
+    # Deeper lines are read first.
+    assert "address#" in joins[-1] and "round_id#" in joins[-2]
