@@ -1,6 +1,8 @@
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from threading import Barrier
+from time import sleep
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -300,3 +302,58 @@ def test_the_command_publishes_landed_tables(spark, tmp_path, capsys, monkeypatc
     spark.range(1).write.mode("overwrite").parquet(f"{inputs}/others/names")
     with pytest.raises(ValueError, match="lacks columns"):
         command.landed_inputs(spark, str(inputs))
+
+
+def test_one_large_table_at_a_time(spark):
+    large, most, order = [], [], []
+
+    def build(name):
+        def run(tables):
+            large.append(name)
+            most.append(len(large))
+            sleep(0.3)
+            large.remove(name)
+            order.append(name)
+            return spark.range(1)
+
+        return run
+
+    jobs = {n: graph.Job(build(n), large=True) for n in ("c", "a", "b")} | {"d": graph.Job(build("d"), ("a",), large=True)}
+    graph.run_jobs(spark, jobs, lambda name, build: build())
+    assert max(most) == 1 and order[0] == "c" and sorted(order) == ["a", "b", "c", "d"]
+
+
+def test_a_table_in_parts_has_the_totals_of_all(spark, tmp_path):
+    staging = refresh.Staging(spark, str(tmp_path), 1, {"t": "x", "z": "x"})
+    parts = [spark.range(n).select(F.lit(0.25).alias("x"), F.col("id")) for n in (3, 0, 2)]
+    assert staging.write("t", lambda: iter(parts)).count() == 5
+    assert staging.rows["t"][3:] == (5, "1.25000000")
+    assert staging.write("z", lambda: iter([parts[1]])).count() == 0 and staging.rows["z"][3:] == (0, "0.00000000")
+
+
+def test_pieces_of_the_rounds_add_up(spark, tmp_path, monkeypatch):
+    base_sources, others = refresh_inputs(Views(spark, SMALL))
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(refresh, "staging_path", lambda spark, tag: f"{shared}/{tag}-{uuid4().hex}")
+    manifests, seen = [], []
+    write = refresh.write_files
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    monkeypatch.setattr(refresh, "write_files", lambda df, *args: seen.append(spark.conf.get(key)) or write(df, *args))
+    for size in (refresh.ROWS_PER_PIECE, 2_000):
+        monkeypatch.setattr(refresh, "ROWS_PER_PIECE", size)
+        root = str(tmp_path / f"by_{size}")
+        refresh.refresh_all(spark, base_sources, others, root)
+        manifests.append({r["table"]: (r["row_count"], r["total"]) for r in writers.current_manifest(spark, root)})
+        # What the events were built from is gone.
+        assert list(shared.iterdir()) == []
+        tables = writers.current_tables(spark, root)
+        for name in ("all_donations", "allo_gmv_leaderboard_events"):
+            assert tables[name].count() == manifests[-1][name][0]
+    assert manifests[0] == manifests[1] and set(seen) == {"true"}
+    assert refresh.round_pieces(tables["donations"]) > 1
+
+
+def test_each_row_is_in_one_piece(rows):
+    df = rows([("a", 1), ("a", 2), (None, 3), ("b", 4)], "k string, v int")
+    pieces = [{r.v for r in refresh.piece_of(df, "k", 3, i).collect()} for i in range(3)]
+    assert sorted(v for p in pieces for v in p) == [1, 2, 3, 4] and any({1, 2} <= p for p in pieces)
